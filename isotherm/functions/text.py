@@ -12,13 +12,10 @@ TRIMMED = "".join(chr(code) for code in range(33))
 NON_BLANK = r"\P{javaWhitespace}"
 LEADING_BLANK = r"^\p{javaWhitespace}*"
 INT_TEXT = r"^[+-]?[0-9]+$"
+LINE_BREAK = "\r\n|\r|\n"
 # --------------------------------------------------------------------------
 
 
-def lit_if_text(value: Column | str) -> Column:
-    return F.lit(value) if isinstance(value, str) else value
-
-
 def utf8(content: Column) -> Column:
     """Bytes as text; bytes that are not UTF-8 turn into U+FFFD."""
     return F.make_valid_utf8(content.cast("string"))
@@ -29,24 +26,13 @@ def blank(text: Column) -> Column:
     return ~text.rlike(NON_BLANK)
 
 
-def trimmed(text: Column) -> Column:
-    return F.btrim(text, F.lit(TRIMMED))
-
-
-def int_or_null(text: Column) -> Column:
-    """A decimal 32-bit integer with an optional sign, else NULL."""
-    return F.when(text.rlike(INT_TEXT), text.try_cast("int"))
-
-
-def split_lines(text: Column) -> Column:
-    """Lines ended by LF, CR or CRLF."""
-    return F.when(F.contains(text, F.lit("\r")), F.split(text, "\r\n|\r|\n")).otherwise(F.split(text, "\n"))
-
+def delimiter_pattern(delimiter: str) -> str:
+    """The delimiter as a pattern that matches just it.
 
-def split_literal(text: Column, delimiter: str) -> Column:
-    """Split on the delimiter as it stands, keeping empty cells at the end."""
+    One plain character stays as it is: the JVM splits on it without a regex.
+    """
     plain = len(delimiter) == 1 and delimiter not in r".$|()[{^?*+\\"
-    return F.split(text, delimiter if plain else rf"\Q{delimiter}\E", -1)
+    return delimiter if plain else rf"\Q{delimiter}\E"
 
 
 def one_line(text: Column) -> Column:

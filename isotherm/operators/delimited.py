@@ -7,11 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from isotherm.functions.text import LEADING_BLANK, blank, split_lines, split_literal, trimmed
-from isotherm.operators.parser import FIELDS, Parser
+from isotherm.functions.text import LEADING_BLANK, LINE_BREAK, NON_BLANK, TRIMMED, delimiter_pattern
+from isotherm.operators.parser import FIELDS, Parser, sql_list, sql_text, with_expressions
 
 # --- fixed values ---------------------------------------------------------
 DELIMITERS = {"CSV": ",", "TSV": "\t"}
@@ -20,62 +19,72 @@ BLANK = "Blank required column: "
 # --------------------------------------------------------------------------
 
 
-def split_cells(line: Column, fmt: Column, delimiters: Mapping[str, str]) -> Column:
-    """Cells of a line by the delimiter of its format."""
-    cells = None
-    for name, delimiter in delimiters.items():
-        split = split_literal(line, delimiter)
-        cells = F.when(fmt == name, split) if cells is None else cells.when(fmt == name, split)
-    return cells
-
-
-def _equals_ignoring_case(field: str):
-    return lambda cell: cell.rlike(rf"(?iu)\A{field}\z")
+def split_cells(line: str, delimiters: Mapping[str, str]) -> str:
+    """SQL for the cells of a line; empty cells at the end are kept."""
+    cases = [
+        f"WHEN {sql_text(fmt)} THEN split({line}, {sql_text(delimiter_pattern(delimiter))}, -1)"
+        for fmt, delimiter in delimiters.items()
+    ]
+    return f"CASE format {' '.join(cases)} END"
 
 
-def field_positions(header: Column) -> list[Column]:
-    """For each field the index of the cell that holds it, NULL if there is none.
+def with_positions(df: DataFrame, header: str, delimiters: Mapping[str, str], positions: str) -> DataFrame:
+    """Add a struct with the index of each field's cell, NULL if there is none.
 
     The first header that equals the field ignoring case names the column; if
     that very header is repeated, its last cell is the one.
     """
-    cells = F.transform(header, trimmed)
-    found = []
-    for field in FIELDS:
-        name = F.get(F.filter(cells, _equals_ignoring_case(field)), 0)
-        last = F.size(cells) - F.array_position(F.reverse(cells), name).cast("int")
-        found.append(F.when(name.isNotNull(), last).alias(field))
-    return found
-
-
-def cell_texts(cells: Column, positions: Column) -> list[Column]:
-    """Trimmed field texts; a line that is too short has empty cells."""
-    return [
-        F.when(positions[field].isNotNull(), trimmed(F.coalesce(F.get(cells, positions[field]), F.lit(""))))
-        for field in FIELDS
-    ]
+    trim = sql_text(TRIMMED)
+    cells = with_expressions(df, _header=f"transform({split_cells(header, delimiters)}, x -> btrim(x, {trim}))")
+    named = with_expressions(
+        cells, **{f"_{f}": f"get(filter(_header, x -> x RLIKE r'(?iu)\\A{f}\\z'), 0)" for f in FIELDS}
+    )
+    last = ", ".join(
+        f"'{f}', CAST(size(_header) - array_position(reverse(_header), _{f}) AS INT)" for f in FIELDS
+    )
+    placed = with_expressions(named, **{positions: f"named_struct({last})"})
+    return placed.drop("_header", *[f"_{f}" for f in FIELDS])
+
+
+def cell_text(cells: str, position: str) -> str:
+    """SQL for a trimmed cell; a line that is too short has empty cells."""
+    value = f"btrim(coalesce(get({cells}, {position}), ''), {sql_text(TRIMMED)})"
+    return f"CASE WHEN {cells} IS NOT NULL AND {position} IS NOT NULL THEN {value} END"
 
 
 def delimited_parser(delimiters: Mapping[str, str] = DELIMITERS) -> Parser:
-    def context(text: Column, content: Column, fmt: Column) -> Column:
+    line_break = sql_text(LINE_BREAK)
+
+    def open_files(files: DataFrame) -> DataFrame:
+        lines = (
+            f"CASE WHEN format IN {sql_list(delimiters)} THEN "
+            f"CASE WHEN contains(text, '\\r') THEN split(text, {line_break}) ELSE split(text, '\\n') END "
+            "ELSE array() END"
+        )
         # White space up to the header's first visible character; the line
         # breaks inside it are the blank lines in front of the header.
-        before = F.regexp_extract(text, LEADING_BLANK, 0)
-        header_at = F.size(split_lines(before)) - 1
-        header = F.coalesce(F.get(split_lines(text), header_at), F.lit(""))
-        positions = field_positions(split_cells(header, fmt, delimiters))
-        return F.when(text.isNotNull(), F.struct(header_at.alias("header_at"), *positions))
-
-    def units(text: Column, context: Column) -> Column:
-        return split_lines(text)
-
-    def prepare(line: Column, position: Column, context: Column, fmt: Column) -> Column:
-        is_data = (position > context["header_at"]) & ~blank(line)
-        return F.when(
-            is_data, F.struct(split_cells(line, fmt, delimiters).alias("cells"), context.alias("positions"))
+        before = f"regexp_extract(text, {sql_text(LEADING_BLANK)}, 0)"
+        cut = with_expressions(
+            files, delimited_units=lines, delimited_header_at=f"size(split({before}, {line_break})) - 1"
+        )
+        headed = with_expressions(cut, _line="get(delimited_units, delimited_header_at)")
+        placed = with_positions(headed, "_line", delimiters, "_positions")
+        context = "named_struct('header_at', delimited_header_at, 'at', _positions)"
+        return with_expressions(placed, delimited_context=context).drop(
+            "_line", "_positions", "delimited_header_at"
         )
 
-    def fields(prepared: Column) -> list[Column]:
-        return cell_texts(prepared["cells"], prepared["positions"])
+    def read(units: DataFrame) -> DataFrame:
+        line = "unit.delimited_units"
+        present = f"pos > delimited_context.header_at AND {line} RLIKE {sql_text(NON_BLANK)}"
+        cut = with_expressions(
+            units,
+            delimited_cells=f"CASE WHEN {present} THEN {split_cells(line, delimiters)} END",
+        )
+        return with_expressions(
+            cut,
+            delimited_present="delimited_cells IS NOT NULL",
+            **{f"delimited_{f}": cell_text("delimited_cells", f"delimited_context.at.{f}") for f in FIELDS},
+        )
 
-    return Parser(tuple(delimiters), context, units, prepare, fields, MISSING, BLANK)
+    return Parser("delimited", tuple(delimiters), open_files, read, MISSING, BLANK)

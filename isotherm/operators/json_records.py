@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from isotherm.functions.text import blank, trimmed
-from isotherm.operators.parser import FIELDS, Parser
+from isotherm.functions.text import NON_BLANK, TRIMMED
+from isotherm.operators.parser import FIELDS, Parser, sql_text, with_expressions
 
 # --- fixed values ---------------------------------------------------------
 MIN_INT = -2147483648
@@ -17,80 +16,77 @@ ABSENT_TEMPERATURE = "0"
 # --------------------------------------------------------------------------
 
 MISSING = "No text or number for: "
+MALFORMED = "Malformed JSON document"
 
 
-def parse_document(text: Column) -> Column:
-    """The first JSON value of the text, NULL if it is malformed or absent.
-
-    A byte order mark in front is skipped; text after the value is ignored.
-    """
-    return F.try_parse_json(F.regexp_replace(text, "^\ufeff", ""))
-
-
-def is_container(kind: Column) -> Column:
-    return kind.startswith("OBJECT") | kind.startswith("ARRAY")
+def is_container(kind: str) -> str:
+    return f"(startswith({kind}, 'OBJECT') OR startswith({kind}, 'ARRAY'))"
 
 
-def node_kind(node: Column, path: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(node, path, "variant"))
-
-
-def scalar_text(node: Column, path: str, kind: Column) -> Column:
-    """Text of the scalar at ``path``; fractional numbers print as doubles."""
-    fractional = (kind == "DOUBLE") | (kind.startswith("DECIMAL") & ~kind.endswith(",0)"))
-    plain = F.try_variant_get(node, path, "string")
-    return F.when(fractional, F.try_variant_get(node, path, "double").cast("string")).otherwise(plain)
+def scalar_text(value: str, kind: str) -> str:
+    """SQL for the text of a scalar; fractional numbers print as doubles."""
+    fractional = f"{kind} = 'DOUBLE' OR (startswith({kind}, 'DECIMAL') AND NOT endswith({kind}, ',0)'))"
+    return (
+        f"CASE WHEN {fractional} THEN CAST(try_variant_get({value}, '$', 'double') AS STRING) "
+        f"ELSE try_variant_get({value}, '$', 'string') END"
+    )
 
 
-def temperature_text(value: Column, kind: Column) -> Column:
-    """Temperature as the text of an integer where it counts as one.
+def temperature_text() -> str:
+    """SQL for the temperature as the text of an integer where it counts as one.
 
     Absent and blank count as 0; a number loses its fraction. Any other text
     is left for the integer check to refuse: true, {}, 84.5 as text, and
     numbers that do not fit 32 bits.
     """
-    double = F.try_variant_get(value, "$", "double")
-    plain = trimmed(F.try_variant_get(value, "$", "string"))
-    numeric = (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
-    empty_text = (kind == "STRING") & (blank(plain) | (plain == NULL_TEXT))
+    kind, text, number = "_temperature_kind", "_temperature_text", "_temperature_number"
+    numeric = f"({kind} IN ('BIGINT', 'DOUBLE') OR startswith({kind}, 'DECIMAL'))"
+    empty = f"{kind} = 'STRING' AND (NOT {text} RLIKE {sql_text(NON_BLANK)} OR {text} = '{NULL_TEXT}')"
     return (
-        F.when(kind.isNull() | (kind == "VOID") | empty_text, F.lit(ABSENT_TEMPERATURE))
-        .when(numeric & double.between(MIN_INT, MAX_INT), double.cast("int").cast("string"))
-        .otherwise(plain)
+        f"CASE WHEN {kind} IS NULL OR {kind} = 'VOID' OR ({empty}) THEN '{ABSENT_TEMPERATURE}' "
+        f"WHEN {numeric} AND {number} BETWEEN {MIN_INT} AND {MAX_INT} THEN CAST(CAST({number} AS INT) AS STRING) "
+        f"ELSE {text} END"
+    )
+
+
+def open_files(files: DataFrame) -> DataFrame:
+    """Only the first JSON value of a file counts; text after it is ignored."""
+    body = "CASE WHEN startswith(text, '\\ufeff') THEN substring(text, 2) ELSE text END"
+    parsed = with_expressions(
+        files,
+        _document=f"CASE WHEN format = 'JSON' AND is_valid_utf8(CAST(content AS STRING)) THEN try_parse_json({body}) END",
+    )
+    units = (
+        "coalesce(try_variant_get(_document, '$', 'array<variant>'), "
+        "try_variant_get(_document, '$.records', 'array<variant>'), array(_document))"
+    )
+    return with_expressions(
+        parsed,
+        json_units=f"CASE WHEN _document IS NOT NULL THEN {units} ELSE array() END",
+        json_failure=f"CASE WHEN format = 'JSON' AND _document IS NULL THEN '{MALFORMED}' END",
+    ).drop("_document")
+
+
+def read(units: DataFrame) -> DataFrame:
+    node = "unit.json_units"
+    values = with_expressions(units, **{f"_{f}": f"try_variant_get({node}, '$.{f}', 'variant')" for f in FIELDS})
+    kinds = with_expressions(
+        values,
+        **{f"_{f}_kind": f"schema_of_variant(_{f})" for f in FIELDS},
+        _temperature_text=f"btrim(try_variant_get(_temperature, '$', 'string'), {sql_text(TRIMMED)})",
+        _temperature_number="try_variant_get(_temperature, '$', 'double')",
+    )
+    texts = {
+        f"json_{f}": f"CASE WHEN NOT {is_container(f'_{f}_kind')} THEN {scalar_text(f'_{f}', f'_{f}_kind')} END"
+        for f in ("date", "city")
+    }
+    return with_expressions(
+        kinds,
+        json_present=f"{node} IS NOT NULL",
+        json_temperature=f"CASE WHEN {node} IS NOT NULL THEN {temperature_text()} END",
+        **texts,
     )
 
 
 def json_parser() -> Parser:
-    def context(text: Column, content: Column, fmt: Column) -> Column:
-        readable = F.is_valid_utf8(content.cast("string"))
-        return F.when(text.isNotNull(), F.struct(F.when(readable, parse_document(text)).alias("document")))
-
-    def units(text: Column, context: Column) -> Column:
-        document = context["document"]
-        array = F.coalesce(
-            F.try_variant_get(document, "$", "array<variant>"),
-            F.try_variant_get(document, "$.records", "array<variant>"),
-            F.array(document),
-        )
-        return F.when(context.isNotNull(), array)
-
-    def failure(context: Column) -> Column:
-        return F.when(context.isNotNull() & context["document"].isNull(), F.lit("Malformed JSON document"))
-
-    def prepare(node: Column, position: Column, context: Column, fmt: Column) -> Column:
-        values = []
-        for field in FIELDS:
-            value = F.try_variant_get(node, f"$.{field}", "variant")
-            values += [value.alias(field), F.schema_of_variant(value).alias(f"{field}_kind")]
-        return F.when(node.isNotNull(), F.struct(*values))
-
-    def fields(prepared: Column) -> list[Column]:
-        texts = []
-        for field in ("date", "city"):
-            kind = prepared[f"{field}_kind"]
-            texts.append(F.when(~is_container(kind), scalar_text(prepared[field], "$", kind)))
-        # Absence of the other two tells a record from a bare scalar or NULL.
-        temperature = temperature_text(prepared["temperature"], prepared["temperature_kind"])
-        return [*texts, F.when(prepared.isNotNull(), temperature)]
-
-    return Parser(("JSON",), context, units, prepare, fields, MISSING, None, failure)
+    return Parser("json", ("JSON",), open_files, read, MISSING, None)

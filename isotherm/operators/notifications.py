@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.functions.location import bucket_url
 from isotherm.functions.text import form_decoded, one_line
-from isotherm.operators.json_records import is_container, node_kind, scalar_text
+from isotherm.operators.json_records import is_container, scalar_text
+from isotherm.operators.parser import with_expressions
 
 # --- fixed values ---------------------------------------------------------
 OBJECT_EVENT_SOURCE = "aws.s3"
@@ -23,12 +24,6 @@ MISSING_FIELD = "missing_field"
 BAD_ESCAPE = "bad_escape"
 
 
-def _field(document: Column, path: str) -> Column:
-    """Scalar text; an object or array counts as empty text."""
-    kind = node_kind(document, path)
-    return F.when(is_container(kind), F.lit("")).otherwise(scalar_text(document, path, kind))
-
-
 def route_events(messages: DataFrame, bucket: str, value: str = "value") -> DataFrame:
     """Messages about a new object in ``bucket``; the rule in front of the job."""
     text = F.col(value)
@@ -46,32 +41,34 @@ def read_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     gives both the notifications and the dead letters. Other input columns
     are kept.
     """
+    paths = {"bucket": BUCKET_PATH, "key": KEY_PATH, "time": TIME_PATH, "source": SOURCE_PATH}
     parsed = messages.withColumn("_document", F.try_parse_json(F.col(value)))
-    fields = parsed.withColumns(
-        {
-            "_bucket": _field(F.col("_document"), BUCKET_PATH),
-            "_key": _field(F.col("_document"), KEY_PATH),
-            "event_time": _field(F.col("_document"), TIME_PATH),
-            "event_source": _field(F.col("_document"), SOURCE_PATH),
-        }
+    values = with_expressions(
+        parsed, **{f"_{name}": f"try_variant_get(_document, '{path}', 'variant')" for name, path in paths.items()}
     )
-    decoded = fields.withColumn("_name", form_decoded(F.col("_key")))
-
-    def absent(name: str) -> Column:
-        return F.col(name).isNull() | (F.col(name) == "")
-
+    kinds = with_expressions(values, **{f"_{name}_kind": f"schema_of_variant(_{name})" for name in paths})
+    # An object or array in place of a scalar counts as empty text.
+    texts = with_expressions(
+        kinds,
+        **{
+            f"_{name}_text": f"CASE WHEN {is_container(f'_{name}_kind')} THEN '' "
+            f"ELSE {scalar_text(f'_{name}', f'_{name}_kind')} END"
+            for name in paths
+        },
+    )
+    decoded = texts.withColumn("object_name", form_decoded(F.col("_key_text")))
     reason = (
-        F.when(F.col("_document").isNull(), F.lit(NOT_JSON))
-        .when(absent("_bucket") | absent("_key"), F.lit(MISSING_FIELD))
-        .when(F.col("_name").isNull(), F.lit(BAD_ESCAPE))
+        f"CASE WHEN _document IS NULL THEN '{NOT_JSON}' "
+        "WHEN coalesce(_bucket_text, '') = '' OR coalesce(_key_text, '') = '' "
+        f"THEN '{MISSING_FIELD}' WHEN object_name IS NULL THEN '{BAD_ESCAPE}' END"
     )
     return decoded.select(
-        *[F.col(name) for name in messages.columns],
-        bucket_url(F.col("_bucket")).alias("bucket_url"),
-        F.col("_name").alias("object_name"),
-        "event_time",
-        "event_source",
-        reason.alias("dead_reason"),
+        *messages.columns,
+        bucket_url(F.col("_bucket_text")).alias("bucket_url"),
+        "object_name",
+        F.col("_time_text").alias("event_time"),
+        F.col("_source_text").alias("event_source"),
+        F.expr(reason).alias("dead_reason"),
     )
 
 

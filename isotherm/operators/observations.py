@@ -8,21 +8,20 @@ mixed input is read once, without a union of one branch per format.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.functions.text import blank, int_or_null, utf8
+from isotherm.functions.text import INT_TEXT, NON_BLANK, utf8
 from isotherm.operators.delimited import delimited_parser
 from isotherm.operators.detect import detect_format
 from isotherm.operators.json_records import json_parser
-from isotherm.operators.parser import FIELDS, Parser
+from isotherm.operators.parser import FIELDS, Parser, sql_list, sql_text, with_expressions
 from isotherm.operators.xml_records import DEFAULT_RECORD_TAG, xml_parser
 
 # --- fixed values ---------------------------------------------------------
 UNSUPPORTED = "Unsupported file format: "
+BAD_NUMBER = 'For input string: "'
 METADATA = ("bucket_url", "object_name", "event_time", "event_source")
 # --------------------------------------------------------------------------
 
@@ -64,107 +63,84 @@ def parse_files(files: DataFrame, parsers: Sequence[Parser] | None = None) -> Da
     parsers = default_parsers() if parsers is None else list(parsers)
     files = with_format(with_text(files))
     metadata = [name for name in METADATA if name in files.columns]
-    fmt = F.col("format")
 
-    # Per file: the document as each format's parser sees it.
-    def of(parser: Parser, column: str) -> Column:
-        return F.when(fmt.isin(*parser.formats), F.col(column))
-
-    documents = files.select(
+    # Per file: the units as each format's parser sees them.
+    opened = files.select("file_id", F.struct("format", *metadata).alias("meta"), "format", "text", "content")
+    for parser in parsers:
+        opened = parser.open(opened)
+    known = [name for parser in parsers for name in parser.formats]
+    failures = [f"CASE WHEN format NOT IN {sql_list(known)} THEN concat('{UNSUPPORTED}', format) END"]
+    failures += [f"{p.name}_failure" for p in parsers if f"{p.name}_failure" in opened.columns]
+    contexts = [f"{p.name}_context" for p in parsers if f"{p.name}_context" in opened.columns]
+    arrays = ", ".join(f"{p.name}_units" for p in parsers)
+    units = opened.selectExpr(
         "file_id",
-        F.struct("format", *metadata).alias("meta"),
+        "meta",
         "format",
-        "text",
-        *[p.context(of(p, "text"), of(p, "content"), fmt).alias(f"{p.name}_context") for p in parsers],
+        *contexts,
+        f"coalesce({', '.join(failures)}, NULL) AS failure",
+        f"posexplode_outer(arrays_zip({arrays})) AS (at, unit)",
+    ).selectExpr(
+        "file_id",
+        "CASE WHEN coalesce(at, 0) = 0 THEN meta END AS meta",
+        "format",
+        *contexts,
+        "failure",
+        "CAST(coalesce(at, 0) AS BIGINT) AS pos",
+        "unit",
     )
-    known = [name for parser in parsers for name in parser.formats]
-    failure = F.when(~fmt.isin(*known), F.concat(F.lit(UNSUPPORTED), fmt))
+
+    # Per unit: the texts of a record, then one check for all formats.
     for parser in parsers:
-        failure = F.coalesce(failure, parser.failure(F.col(f"{parser.name}_context")))
-    units = {p.name: p.units(of(p, "text"), F.col(f"{p.name}_context")) for p in parsers}
-    exploded = documents.select(
+        units = parser.read(units)
+    read = units.selectExpr(
         "file_id",
+        "pos",
         "meta",
         "format",
-        *[f"{p.name}_context" for p in parsers],
-        failure.alias("failure"),
-        F.posexplode_outer(_zip(units)).alias("pos", "unit"),
-    )
-
-    # Per unit: a record, its three texts, then one check for all formats.
-    pos = F.coalesce(F.col("pos"), F.lit(0))
-    first = ["file_id", "format", "failure", pos.cast("long").alias("pos"), F.when(pos == 0, F.col("meta")).alias("meta")]
-    carried = ["file_id", "format", "failure", "pos", "meta"]
-    prepared = exploded.select(
-        *first,
-        *[
-            p.prepare(
-                F.col("unit")[p.name] if len(parsers) > 1 else F.col("unit"), pos, F.col(f"{p.name}_context"), fmt
-            ).alias(f"{p.name}_record")
-            for p in parsers
-        ],
-    )
-    texts = [p.fields(F.col(f"{p.name}_record")) for p in parsers]
-    read = prepared.select(
-        *carried,
-        _any([F.col(f"{p.name}_record").isNotNull() for p in parsers]).alias("is_record"),
-        *[F.coalesce(*by_parser).alias(field) for field, by_parser in zip(FIELDS, zip(*texts))],
+        "failure",
+        f"coalesce({' OR '.join(f'{p.name}_present' for p in parsers)}, false) AS is_record",
+        *[f"coalesce({', '.join(f'{p.name}_{field}' for p in parsers)}, NULL) AS {field}" for field in FIELDS],
     )
     return check_fields(read, parsers, ("file_id", "pos", "meta"))
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(or_, conditions)
-
-
-def _zip(units: dict[str, Column]) -> Column:
-    """One array to explode. Of several, all but one are empty."""
-    if len(units) == 1:
-        return next(iter(units.values()))
-    return F.arrays_zip(*[F.coalesce(array, F.array()).alias(name) for name, array in units.items()])
-
-
 def check_fields(read: DataFrame, parsers: Sequence[Parser], carry: Sequence[str]) -> DataFrame:
     """Texts to observation or error; fields are checked in their order.
 
-    ``read`` has the three texts and ``is_record``; with one parser ``format``
-    and ``failure`` may be absent.
+    ``read`` has ``format``, ``failure``, ``is_record`` and the three texts.
     """
-    fmt = F.col("format") if "format" in read.columns else F.lit(parsers[0].formats[0])
-    if "failure" not in read.columns:
-        read = read.withColumn("failure", F.lit(None).cast("string"))
-
-    def message(start: str, field: str) -> Column:
-        found = F.lit(None).cast("string")
-        for parser in parsers:
-            prefix = getattr(parser, start)
-            if prefix is not None:
-                found = F.when(fmt.isin(*parser.formats), F.lit(prefix + field)).otherwise(found)
-        return found
-
-    def field_error(field: str) -> Column:
-        absent = F.when(F.col(field).isNull(), message("missing", field))
-        return absent.when(blank(F.col(field)), message("blank", field))
-
-    checked = read.withColumns(
-        {
-            "number": int_or_null(F.col("temperature")),
-            "field_error": F.when(
-                F.col("failure").isNull() & F.col("is_record"), F.coalesce(*[field_error(f) for f in FIELDS])
-            ),
-        }
+
+    def message(start: str, field: str) -> str:
+        cases = [
+            f"WHEN format IN {sql_list(p.formats)} THEN {sql_text(getattr(p, start) + field)}"
+            for p in parsers
+            if getattr(p, start) is not None
+        ]
+        return f"CASE {' '.join(cases)} END" if cases else "NULL"
+
+    visible = sql_text(NON_BLANK)
+    field_errors = [
+        f"WHEN {f} IS NULL THEN {message('missing', f)} "
+        f"WHEN NOT {f} RLIKE {visible} AND {message('blank', f)} IS NOT NULL THEN {message('blank', f)}"
+        for f in FIELDS
+    ]
+    checked = with_expressions(
+        read, number=f"CASE WHEN temperature RLIKE {sql_text(INT_TEXT)} THEN TRY_CAST(temperature AS INT) END"
     )
-    bad_number = F.when(
-        F.col("is_record") & F.col("number").isNull(),
-        F.concat(F.lit('For input string: "'), F.col("temperature"), F.lit('"')),
+    judged = with_expressions(
+        checked,
+        error=(
+            f"CASE WHEN failure IS NOT NULL THEN failure WHEN NOT is_record THEN NULL {' '.join(field_errors)} "
+            f"WHEN number IS NULL THEN concat('{BAD_NUMBER}', temperature, '\"') END"
+        ),
     )
-    judged = checked.withColumn("error", F.coalesce("failure", "field_error", bad_number))
-    good = F.col("is_record") & F.col("error").isNull()
-    return judged.select(
+    good = "is_record AND error IS NULL"
+    return judged.selectExpr(
         *carry,
-        F.when(good, F.col("date")).alias("date"),
-        F.when(good, F.col("city")).alias("city"),
-        F.when(good, F.col("number")).alias("temperature"),
+        f"CASE WHEN {good} THEN date END AS date",
+        f"CASE WHEN {good} THEN city END AS city",
+        f"CASE WHEN {good} THEN number END AS temperature",
         "error",
     )
 

@@ -1,9 +1,12 @@
-"""What a file parser is: a few Column functions.
+"""What a file parser is: two DataFrame functions around one shared explode.
 
-``units`` cuts one file's text into an array. The arrays of all parsers are
-exploded together, once, so the input is scanned once however many formats it
-mixes, and a large file leaves its row as a stream of small rows. ``prepare``
-and ``fields`` then turn one unit into three texts with ordinary generated code.
+``open`` adds to each file an array with one element per possible record. The
+arrays of all parsers are exploded together, once, so the input is scanned once
+however many formats it mixes, and a large file leaves its row as a stream of
+small rows. ``read`` then adds the texts of the three fields to each of those.
+
+Steps that several expressions build on are columns of their own: Catalyst
+evaluates a column once, but repeats an expression inside each branch of a CASE.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values ---------------------------------------------------------
@@ -19,38 +22,41 @@ FIELDS = ("date", "city", "temperature")
 # --------------------------------------------------------------------------
 
 
-def no_failure(context: Column) -> Column:
-    return F.lit(None).cast("string")
-
-
 @dataclass(frozen=True)
 class Parser:
     """How to read the files of some formats.
 
-    formats                      the formats it reads
-    context(text, content, fmt)  facts about a whole file; the others build on it
-    units(text, context)         array with one element per possible record
-    failure(context)             message if the file as a whole is unreadable
-    prepare(unit, pos, context, fmt)
-                                 a record in a form easy to take fields from,
-                                 NULL if there is no record at this position
-    fields(prepared)             texts of date, city and temperature, NULL if absent
-    missing                      start of the message about an absent field
-    blank                        the same about a blank one; NULL if blanks are fine
-
-    ``text`` and ``content`` are NULL for files of other formats; each function
-    gives NULL for NULL.
+    formats        the formats it reads
+    open(files)    sees ``format, text, content``; adds ``<name>_units``, an array that
+                   is empty for files of other formats; may add ``<name>_context``, kept
+                   with each unit, and ``<name>_failure``, a message if the file as a
+                   whole is unreadable
+    read(units)    sees ``format, pos, unit.<name>_units`` and the context; adds
+                   ``<name>_present`` (is there a record here) and ``<name>_date``,
+                   ``<name>_city``, ``<name>_temperature``, NULL where absent
+    missing        start of the message about an absent field
+    blank          the same about a blank one; None if blanks are fine
     """
 
+    name: str
     formats: tuple[str, ...]
-    context: Callable[[Column, Column, Column], Column]
-    units: Callable[[Column, Column], Column]
-    prepare: Callable[[Column, Column, Column, Column], Column]
-    fields: Callable[[Column], list[Column]]
+    open: Callable[[DataFrame], DataFrame]
+    read: Callable[[DataFrame], DataFrame]
     missing: str
     blank: str | None
-    failure: Callable[[Column], Column] = no_failure
 
-    @property
-    def name(self) -> str:
-        return self.formats[0].lower()
+
+def with_expressions(df: DataFrame, **expressions: str) -> DataFrame:
+    """Add SQL expressions as columns, all over the columns of ``df``."""
+    return df.withColumns({name: F.expr(text) for name, text in expressions.items()})
+
+
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    plain = {"\\": "\\\\", "'": "\\'"}
+    shown = [plain.get(c) or (c if c.isprintable() else f"\\u{ord(c):04x}") for c in value]
+    return "'" + "".join(shown) + "'"
+
+
+def sql_list(values) -> str:
+    return "(" + ", ".join(sql_text(value) for value in values) + ")"

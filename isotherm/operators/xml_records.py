@@ -14,12 +14,12 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isotherm.functions.text import TRIMMED, trimmed
-from isotherm.operators.parser import FIELDS, Parser
+from isotherm.functions.text import TRIMMED
+from isotherm.operators.parser import FIELDS, Parser, sql_text, with_expressions
 
 # --- fixed values ---------------------------------------------------------
 MISSING = "Missing required XML element: "
@@ -38,6 +38,7 @@ PLAIN_START = (
     r"(?:\s+standalone=[\"']\w+[\"'])?\s*\?>)?\s*<([^\s/>!?]+)"
 )
 ATTRIBUTES = r"(?:\s+[^\s=<>\"'/]+\s*=\s*(?:\"[^\"<]*\"|'[^'<]*'))*\s*"
+EMPTY_END = r"/>\s*\z"
 
 
 def _schema(record_tag: str) -> T.StructType:
@@ -51,42 +52,44 @@ def _schema(record_tag: str) -> T.StructType:
     )
 
 
-def _ends_plainly(text: Column) -> Column:
-    """The first closing tag of the root is also the end of the text.
+def _ends_plainly() -> str:
+    """SQL: the first closing tag of the root is also the end of the text.
 
     An empty root (``<Root/>``) ends where it starts.
     """
-    root = F.regexp_extract(text, f"{PLAIN_START}{ATTRIBUTES}>", 1)
-    closing = F.concat(F.lit("</"), root)
-    tail = F.substr(text, F.instr(text, closing) + F.length(closing))
-    closed = (root != "") & (F.instr(text, closing) > 0) & tail.rlike(r"^\s*>\s*\z")
-    empty = text.rlike(rf"{PLAIN_START}{ATTRIBUTES}/>\s*\z")
-    return closed | empty
-
-
-def _native(text: Column, content: Column, record_tag: str) -> tuple[Column, Column]:
-    """Records by ``from_xml``, and whether they settle the matter."""
-    doc = F.from_xml(text, _schema(record_tag), {"mode": "PERMISSIVE"})
-    many = doc[record_tag]
-    single = F.struct(*[doc[field].alias(field) for field in FIELDS])
-    flat = doc["date"].isNotNull() | doc["city"].isNotNull() | doc["temperature"].isNotNull()
-
-    def marked_up(record: Column) -> Column:
-        joined = F.concat_ws(" ", *[record[field] for field in FIELDS])
-        return F.contains(joined, F.lit("<"))
-
-    childless = F.array().cast(T.ArrayType(RECORD))
-    records = F.when(many.isNotNull(), many).when(flat, F.array(single)).otherwise(childless)
+    tail = "substring(text, instr(text, concat('</', _root)) + length(_root) + 2)"
+    closed = f"_root <> '' AND instr(text, concat('</', _root)) > 0 AND {tail} RLIKE r'^\\s*>\\s*\\z'"
+    empty = f"text RLIKE {sql_text(PLAIN_START + ATTRIBUTES + EMPTY_END)}"
+    return f"({closed} OR {empty})"
+
+
+def _native(files: DataFrame, record_tag: str) -> DataFrame:
+    """Add ``_records`` by ``from_xml`` and whether they settle the matter.
+
+    Every field value that holds a ``<`` may be markup or escaped text, every
+    tag besides the expected ones may be a record: neither is settled here.
+    """
+    own = F.when(F.col("format") == "XML", F.col("text"))
+    document = files.withColumns(
+        {
+            "_document": F.from_xml(own, _schema(record_tag), {"mode": "PERMISSIVE"}),
+            "_root": F.regexp_extract(own, f"{PLAIN_START}{ATTRIBUTES}>", 1),
+        }
+    )
+    many, fields = f"_document.`{record_tag}`", ", ".join(f"'{f}', _document.{f}" for f in FIELDS)
+    single = f"named_struct({fields})"
+    flat = "coalesce(_document.date, _document.city, _document.temperature) IS NOT NULL"
+    read = with_expressions(
+        document,
+        _records=f"CASE WHEN {many} IS NOT NULL THEN {many} WHEN {flat} THEN array({single}) ELSE array() END",
+        _one_shape=f"NOT ({many} IS NOT NULL AND {flat})",
+    )
+    marked_up = "exists(_records, r -> contains(concat_ws(' ', r.date, r.city, r.temperature), '<'))"
     settled = (
-        doc[CORRUPT].isNull()
-        & doc[OTHER_TAGS].isNull()
-        & ~(many.isNotNull() & flat)
-        & ~F.exists(records, marked_up)
-        & ~F.contains(text, F.lit("<!DOCTYPE"))
-        & F.is_valid_utf8(content.cast("string"))
-        & _ends_plainly(text)
+        f"_document.{CORRUPT} IS NULL AND _document.{OTHER_TAGS} IS NULL AND _one_shape AND NOT {marked_up} "
+        f"AND NOT contains(text, '<!DOCTYPE') AND is_valid_utf8(CAST(content AS STRING)) AND {_ends_plainly()}"
     )
-    return records, F.coalesce(settled, F.lit(False))
+    return with_expressions(read, _settled=f"CASE WHEN format = 'XML' THEN coalesce({settled}, false) END")
 
 
 def _element_children(element) -> list:
@@ -148,24 +151,20 @@ def read_odd_documents(contents: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 def xml_parser(record_tag: str = DEFAULT_RECORD_TAG) -> Parser:
     """A parser for any XML file; ``record_tag`` only says which are plain."""
 
-    def context(text: Column, content: Column, fmt: Column) -> Column:
-        records, settled = _native(text, content, record_tag)
-        odd = read_odd_documents(F.when(~settled, content))
-        parsed = F.struct(
-            F.when(settled, records).otherwise(odd["records"]).alias("records"), odd["error"].alias("error")
+    def open_files(files: DataFrame) -> DataFrame:
+        native = _native(files, record_tag)
+        odd = native.withColumn("_odd", read_odd_documents(F.expr("CASE WHEN NOT _settled THEN content END")))
+        units = "CASE WHEN _settled THEN _records ELSE coalesce(_odd.records, array()) END"
+        return with_expressions(odd, xml_units=units, xml_failure="CASE WHEN NOT _settled THEN _odd.error END").drop(
+            "_document", "_root", "_records", "_one_shape", "_settled", "_odd"
         )
-        return F.when(text.isNotNull(), parsed)
-
-    def units(text: Column, context: Column) -> Column:
-        return context["records"]
-
-    def failure(context: Column) -> Column:
-        return context["error"]
 
-    def prepare(record: Column, position: Column, context: Column, fmt: Column) -> Column:
-        return record
-
-    def fields(record: Column) -> list[Column]:
-        return [trimmed(record[field]) for field in FIELDS]
+    def read(units: DataFrame) -> DataFrame:
+        record = "unit.xml_units"
+        return with_expressions(
+            units,
+            xml_present=f"{record} IS NOT NULL",
+            **{f"xml_{f}": f"btrim({record}.{f}, {sql_text(TRIMMED)})" for f in FIELDS},
+        )
 
-    return Parser(("XML",), context, units, prepare, fields, MISSING, MISSING, failure)
+    return Parser("xml", ("XML",), open_files, read, MISSING, MISSING)
