@@ -9,8 +9,16 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from isotherm.functions.text import LEADING_BLANK, LINE_BREAK, NON_BLANK, TRIMMED, delimiter_pattern
-from isotherm.operators.parser import FIELDS, Parser, sql_list, sql_text, with_expressions
+from isotherm.functions.text import (
+    LEADING_BLANK,
+    LINE_BREAK,
+    TRIMMED,
+    delimiter_pattern,
+    sql_list,
+    sql_text,
+    sql_visible,
+)
+from isotherm.operators.parser import FIELDS, Parser, with_expressions
 
 # --- fixed values ---------------------------------------------------------
 DELIMITERS = {"CSV": ",", "TSV": "\t"}
@@ -47,9 +55,8 @@ def with_positions(df: DataFrame, header: str, delimiters: Mapping[str, str], po
 
 
 def cell_text(cells: str, position: str) -> str:
-    """SQL for a trimmed cell; a line that is too short has empty cells."""
-    value = f"btrim(coalesce(get({cells}, {position}), ''), {sql_text(TRIMMED)})"
-    return f"CASE WHEN {cells} IS NOT NULL AND {position} IS NOT NULL THEN {value} END"
+    """SQL for a cell; a line that is too short has empty cells."""
+    return f"CASE WHEN {cells} IS NOT NULL AND {position} IS NOT NULL THEN coalesce(get({cells}, {position}), '') END"
 
 
 def delimited_parser(delimiters: Mapping[str, str] = DELIMITERS) -> Parser:
@@ -76,7 +83,7 @@ def delimited_parser(delimiters: Mapping[str, str] = DELIMITERS) -> Parser:
 
     def read(units: DataFrame) -> DataFrame:
         line = "unit.delimited_units"
-        present = f"pos > delimited_context.header_at AND {line} RLIKE {sql_text(NON_BLANK)}"
+        present = f"pos > delimited_context.header_at AND {sql_visible(line)}"
         cut = with_expressions(
             units,
             delimited_cells=f"CASE WHEN {present} THEN {split_cells(line, delimiters)} END",
@@ -87,4 +94,4 @@ def delimited_parser(delimiters: Mapping[str, str] = DELIMITERS) -> Parser:
             **{f"delimited_{f}": cell_text("delimited_cells", f"delimited_context.at.{f}") for f in FIELDS},
         )
 
-    return Parser("delimited", tuple(delimiters), open_files, read, MISSING, BLANK)
+    return Parser("delimited", tuple(delimiters), open_files, read, True, MISSING, BLANK)

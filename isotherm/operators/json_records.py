@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from isotherm.functions.text import NON_BLANK, TRIMMED
-from isotherm.operators.parser import FIELDS, Parser, sql_text, with_expressions
+from isotherm.functions.text import sql_visible
+from isotherm.operators.parser import FIELDS, Parser, read_records, with_expressions
 
 # --- fixed values ---------------------------------------------------------
 MIN_INT = -2147483648
@@ -19,31 +19,35 @@ MISSING = "No text or number for: "
 MALFORMED = "Malformed JSON document"
 
 
-def is_container(kind: str) -> str:
-    return f"(startswith({kind}, 'OBJECT') OR startswith({kind}, 'ARRAY'))"
+def scalar_text(value: str, text: str, container: str) -> str:
+    """SQL for a scalar's text, where ``text`` is its plain text; ``container`` if it is no scalar.
 
-
-def scalar_text(value: str, kind: str) -> str:
-    """SQL for the text of a scalar; fractional numbers print as doubles."""
-    fractional = f"{kind} = 'DOUBLE' OR (startswith({kind}, 'DECIMAL') AND NOT endswith({kind}, ',0)'))"
+    Fractional numbers print as doubles. The kind of the value is looked at
+    only if the text can be that of a container or of a fraction.
+    """
+    kind = f"schema_of_variant({value})"
+    unsure = f"ascii({text}) IN (91, 123) OR contains({text}, '.') OR contains({text}, 'E')"
+    fractional = f"({kind} = 'DOUBLE' OR (startswith({kind}, 'DECIMAL') AND NOT endswith({kind}, ',0)')))"
     return (
-        f"CASE WHEN {fractional} THEN CAST(try_variant_get({value}, '$', 'double') AS STRING) "
-        f"ELSE try_variant_get({value}, '$', 'string') END"
+        f"CASE WHEN NOT ({unsure}) THEN {text} "
+        f"WHEN startswith({kind}, 'OBJECT') OR startswith({kind}, 'ARRAY') THEN {container} "
+        f"WHEN {fractional} THEN CAST(try_variant_get({value}, '$', 'double') AS STRING) ELSE {text} END"
     )
 
 
-def temperature_text() -> str:
+def temperature_text(value: str, text: str, kind: str) -> str:
     """SQL for the temperature as the text of an integer where it counts as one.
 
     Absent and blank count as 0; a number loses its fraction. Any other text
     is left for the integer check to refuse: true, {}, 84.5 as text, and
     numbers that do not fit 32 bits.
     """
-    kind, text, number = "_temperature_kind", "_temperature_text", "_temperature_number"
-    numeric = f"({kind} IN ('BIGINT', 'DOUBLE') OR startswith({kind}, 'DECIMAL'))"
-    empty = f"{kind} = 'STRING' AND (NOT {text} RLIKE {sql_text(NON_BLANK)} OR {text} = '{NULL_TEXT}')"
+    number = f"try_variant_get({value}, '$', 'double')"
+    numeric = f"({kind} = 'DOUBLE' OR startswith({kind}, 'DECIMAL'))"
+    empty = f"{kind} = 'STRING' AND (NOT {sql_visible(text)} OR trim({text}) = '{NULL_TEXT}')"
     return (
-        f"CASE WHEN {kind} IS NULL OR {kind} = 'VOID' OR ({empty}) THEN '{ABSENT_TEMPERATURE}' "
+        f"CASE WHEN {kind} = 'BIGINT' THEN {text} "
+        f"WHEN {kind} IS NULL OR {kind} = 'VOID' OR ({empty}) THEN '{ABSENT_TEMPERATURE}' "
         f"WHEN {numeric} AND {number} BETWEEN {MIN_INT} AND {MAX_INT} THEN CAST(CAST({number} AS INT) AS STRING) "
         f"ELSE {text} END"
     )
@@ -56,37 +60,33 @@ def open_files(files: DataFrame) -> DataFrame:
         files,
         _document=f"CASE WHEN format = 'JSON' AND is_valid_utf8(CAST(content AS STRING)) THEN try_parse_json({body}) END",
     )
-    units = (
-        "coalesce(try_variant_get(_document, '$', 'array<variant>'), "
-        "try_variant_get(_document, '$.records', 'array<variant>'), array(_document))"
-    )
-    return with_expressions(
+    nodes = with_expressions(
         parsed,
-        json_units=f"CASE WHEN _document IS NOT NULL THEN {units} ELSE array() END",
-        json_failure=f"CASE WHEN format = 'JSON' AND _document IS NULL THEN '{MALFORMED}' END",
-    ).drop("_document")
-
-
-def read(units: DataFrame) -> DataFrame:
-    node = "unit.json_units"
-    values = with_expressions(units, **{f"_{f}": f"try_variant_get({node}, '$.{f}', 'variant')" for f in FIELDS})
-    kinds = with_expressions(
-        values,
-        **{f"_{f}_kind": f"schema_of_variant(_{f})" for f in FIELDS},
-        _temperature_text=f"btrim(try_variant_get(_temperature, '$', 'string'), {sql_text(TRIMMED)})",
-        _temperature_number="try_variant_get(_temperature, '$', 'double')",
+        _nodes=(
+            "CASE WHEN _document IS NULL THEN array() ELSE "
+            "coalesce(try_variant_get(_document, '$', 'array<variant>'), "
+            "try_variant_get(_document, '$.records', 'array<variant>'), array(_document)) END"
+        ),
     )
-    texts = {
-        f"json_{f}": f"CASE WHEN NOT {is_container(f'_{f}_kind')} THEN {scalar_text(f'_{f}', f'_{f}_kind')} END"
-        for f in ("date", "city")
-    }
-    return with_expressions(
-        kinds,
-        json_present=f"{node} IS NOT NULL",
-        json_temperature=f"CASE WHEN {node} IS NOT NULL THEN {temperature_text()} END",
-        **texts,
+    values = ", ".join(
+        f"'{f}', try_variant_get(n, '$.{f}', 'variant'), '{f}_text', try_variant_get(n, '$.{f}', 'string')"
+        for f in FIELDS
+    )
+    kind = "schema_of_variant(try_variant_get(n, '$.temperature', 'variant'))"
+    texts = ", ".join(
+        [
+            *[f"'{f}', {scalar_text(f'v.{f}', f'v.{f}_text', 'NULL')}" for f in ("date", "city")],
+            f"'temperature', {temperature_text('v.temperature', 'v.temperature_text', 'v.kind')}",
+        ]
     )
+    return with_expressions(
+        nodes,
+        json_units=(
+            f"transform(transform(_nodes, n -> named_struct({values}, 'kind', {kind})), v -> named_struct({texts}))"
+        ),
+        json_failure=f"CASE WHEN format = 'JSON' AND _document IS NULL THEN '{MALFORMED}' END",
+    ).drop("_document", "_nodes")
 
 
 def json_parser() -> Parser:
-    return Parser("json", ("JSON",), open_files, read, MISSING, None)
+    return Parser("json", ("JSON",), open_files, read_records("json"), False, MISSING, None)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isotherm.functions.location import bucket_url
 from isotherm.functions.text import form_decoded, one_line
-from isotherm.operators.json_records import is_container, scalar_text
+from isotherm.operators.json_records import scalar_text
 from isotherm.operators.parser import with_expressions
 
 # --- fixed values ---------------------------------------------------------
@@ -46,15 +46,10 @@ def read_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     values = with_expressions(
         parsed, **{f"_{name}": f"try_variant_get(_document, '{path}', 'variant')" for name, path in paths.items()}
     )
-    kinds = with_expressions(values, **{f"_{name}_kind": f"schema_of_variant(_{name})" for name in paths})
+    plain = with_expressions(values, **{f"_{name}_plain": f"try_variant_get(_{name}, '$', 'string')" for name in paths})
     # An object or array in place of a scalar counts as empty text.
     texts = with_expressions(
-        kinds,
-        **{
-            f"_{name}_text": f"CASE WHEN {is_container(f'_{name}_kind')} THEN '' "
-            f"ELSE {scalar_text(f'_{name}', f'_{name}_kind')} END"
-            for name in paths
-        },
+        plain, **{f"_{name}_text": scalar_text(f"_{name}", f"_{name}_plain", "''") for name in paths}
     )
     decoded = texts.withColumn("object_name", form_decoded(F.col("_key_text")))
     reason = (

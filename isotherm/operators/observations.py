@@ -12,11 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.functions.text import INT_TEXT, NON_BLANK, utf8
+from isotherm.functions.text import sql_int, sql_list, sql_text, sql_trimmed, sql_visible, utf8
 from isotherm.operators.delimited import delimited_parser
 from isotherm.operators.detect import detect_format
 from isotherm.operators.json_records import json_parser
-from isotherm.operators.parser import FIELDS, Parser, sql_list, sql_text, with_expressions
+from isotherm.operators.parser import FIELDS, Parser, with_expressions
 from isotherm.operators.xml_records import DEFAULT_RECORD_TAG, xml_parser
 
 # --- fixed values ---------------------------------------------------------
@@ -111,28 +111,35 @@ def check_fields(read: DataFrame, parsers: Sequence[Parser], carry: Sequence[str
     ``read`` has ``format``, ``failure``, ``is_record`` and the three texts.
     """
 
-    def message(start: str, field: str) -> str:
-        cases = [
-            f"WHEN format IN {sql_list(p.formats)} THEN {sql_text(getattr(p, start) + field)}"
-            for p in parsers
-            if getattr(p, start) is not None
-        ]
-        return f"CASE {' '.join(cases)} END" if cases else "NULL"
-
-    visible = sql_text(NON_BLANK)
-    field_errors = [
-        f"WHEN {f} IS NULL THEN {message('missing', f)} "
-        f"WHEN NOT {f} RLIKE {visible} AND {message('blank', f)} IS NOT NULL THEN {message('blank', f)}"
-        for f in FIELDS
-    ]
+    def choose(values: dict[str, str | None]) -> str:
+        """SQL that picks a text by format."""
+        cases = [f"WHEN {sql_text(fmt)} THEN {sql_text(v)}" for fmt, v in values.items() if v is not None]
+        return f"CASE format {' '.join(cases)} END" if cases else "CAST(NULL AS STRING)"
+
+    as_is = [fmt for p in parsers if not p.trims for fmt in p.formats]
+    trim = {f: sql_trimmed(f) for f in FIELDS}
+    if as_is:
+        for field in ("date", "city"):
+            trim[field] = f"CASE WHEN format IN {sql_list(as_is)} THEN {field} ELSE {trim[field]} END"
+    trimmed = with_expressions(read, **trim)
+
+    # Which field is at fault, and whether it is absent or blank; the words follow.
+    may_be_blank = f"format IN {sql_list([fmt for p in parsers if p.blank is None for fmt in p.formats] or [''])}"
+    faults = " ".join(
+        f"WHEN {f} IS NULL THEN '-{f}' WHEN NOT {sql_visible(f)} AND NOT {may_be_blank} THEN '+{f}'" for f in FIELDS
+    )
     checked = with_expressions(
-        read, number=f"CASE WHEN temperature RLIKE {sql_text(INT_TEXT)} THEN TRY_CAST(temperature AS INT) END"
+        trimmed, number=sql_int("temperature"), fault=f"CASE WHEN is_record AND failure IS NULL THEN CASE {faults} END END"
     )
+    absent = choose({fmt: p.missing for p in parsers for fmt in p.formats})
+    blank = choose({fmt: p.blank for p in parsers for fmt in p.formats})
     judged = with_expressions(
         checked,
         error=(
-            f"CASE WHEN failure IS NOT NULL THEN failure WHEN NOT is_record THEN NULL {' '.join(field_errors)} "
-            f"WHEN number IS NULL THEN concat('{BAD_NUMBER}', temperature, '\"') END"
+            "CASE WHEN failure IS NOT NULL THEN failure "
+            f"WHEN startswith(fault, '-') THEN concat({absent}, substring(fault, 2)) "
+            f"WHEN fault IS NOT NULL THEN concat({blank}, substring(fault, 2)) "
+            f"WHEN is_record AND number IS NULL THEN concat('{BAD_NUMBER}', temperature, '\"') END"
         ),
     )
     good = "is_record AND error IS NULL"

@@ -34,6 +34,7 @@ class Parser:
     read(units)    sees ``format, pos, unit.<name>_units`` and the context; adds
                    ``<name>_present`` (is there a record here) and ``<name>_date``,
                    ``<name>_city``, ``<name>_temperature``, NULL where absent
+    trims          are date and city trimmed (the temperature always is)
     missing        start of the message about an absent field
     blank          the same about a blank one; None if blanks are fine
     """
@@ -42,6 +43,7 @@ class Parser:
     formats: tuple[str, ...]
     open: Callable[[DataFrame], DataFrame]
     read: Callable[[DataFrame], DataFrame]
+    trims: bool
     missing: str
     blank: str | None
 
@@ -51,12 +53,12 @@ def with_expressions(df: DataFrame, **expressions: str) -> DataFrame:
     return df.withColumns({name: F.expr(text) for name, text in expressions.items()})
 
 
-def sql_text(value: str) -> str:
-    """A SQL string literal."""
-    plain = {"\\": "\\\\", "'": "\\'"}
-    shown = [plain.get(c) or (c if c.isprintable() else f"\\u{ord(c):04x}") for c in value]
-    return "'" + "".join(shown) + "'"
+def read_records(name: str) -> Callable[[DataFrame], DataFrame]:
+    """``read`` for a parser whose units are structs of the three texts."""
 
+    def read(units: DataFrame) -> DataFrame:
+        unit = f"unit.{name}_units"
+        texts = {f"{name}_{field}": f"{unit}.{field}" for field in FIELDS}
+        return with_expressions(units, **{f"{name}_present": f"{unit} IS NOT NULL"}, **texts)
 
-def sql_list(values) -> str:
-    return "(" + ", ".join(sql_text(value) for value in values) + ")"
+    return read

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isotherm.functions.text import TRIMMED
-from isotherm.operators.parser import FIELDS, Parser, sql_text, with_expressions
+from isotherm.functions.text import TRIMMED, sql_text
+from isotherm.operators.parser import FIELDS, Parser, read_records, with_expressions
 
 # --- fixed values ---------------------------------------------------------
 MISSING = "Missing required XML element: "
@@ -159,12 +159,4 @@ def xml_parser(record_tag: str = DEFAULT_RECORD_TAG) -> Parser:
             "_document", "_root", "_records", "_one_shape", "_settled", "_odd"
         )
 
-    def read(units: DataFrame) -> DataFrame:
-        record = "unit.xml_units"
-        return with_expressions(
-            units,
-            xml_present=f"{record} IS NOT NULL",
-            **{f"xml_{f}": f"btrim({record}.{f}, {sql_text(TRIMMED)})" for f in FIELDS},
-        )
-
-    return Parser("xml", ("XML",), open_files, read, MISSING, MISSING)
+    return Parser("xml", ("XML",), open_files, read_records("xml"), True, MISSING, MISSING)
