@@ -56,6 +56,41 @@ def _count(failed: Column) -> Column:
     return F.when(failed, F.lit(0)).otherwise(F.size("all_records")).cast("long")
 
 
+def _split_by_date(readings: DataFrame) -> DataFrame:
+    error = F.when(F.col("error").isNotNull(), F.struct("block", "line", "error"))
+    return readings.groupBy("file_id", "date").agg(
+        *extreme_columns(("block", "line")), F.min(error).alias("first_error")
+    )
+
+
+def split_file_rows(readings: DataFrame) -> DataFrame:
+    """Summary rows of files read by ``scan_delimited``, without failed files.
+
+    Nothing is collected per file: a file may have any number of dates.
+    """
+    by_date = _split_by_date(readings)
+    failed = by_date.where("first_error IS NOT NULL").select("file_id").distinct()
+    rows = by_date.where("date IS NOT NULL AND max_temp IS NOT NULL")
+    return rows.join(failed, "file_id", "left_anti").select("file_id", *SUMMARY_COLUMNS)
+
+
+def split_file_outcomes(readings: DataFrame) -> DataFrame:
+    """One row per file read by ``scan_delimited``: status, counts and message."""
+    by_file = _split_by_date(readings).groupBy("file_id").agg(
+        F.min("first_error")["error"].alias("error_message"),
+        F.count("max_temp").alias("dates"),
+    )
+    failed = F.col("error_message").isNotNull()
+    written = F.when(failed, F.lit(0)).otherwise(F.col("dates")).cast("long")
+    return by_file.select(
+        "file_id",
+        F.when(failed, F.lit(FAILURE)).otherwise(F.lit(SUCCESS)).alias("status"),
+        written.alias("records_processed"),
+        written.alias("records_written"),
+        "error_message",
+    )
+
+
 def summary_rows(outcomes: DataFrame, *carry: str) -> DataFrame:
     """Rows to store: those of all outcomes but failures. Empty outcomes vanish."""
     written = outcomes.where(F.col("status") != FAILURE)
