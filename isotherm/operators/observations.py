@@ -27,7 +27,8 @@ METADATA = ("bucket_url", "object_name", "event_time", "event_source")
 
 
 def default_parsers(record_tag: str = DEFAULT_RECORD_TAG) -> list[Parser]:
-    return [delimited_parser(), json_parser(), xml_parser(record_tag)]
+    # XML comes first: its Python stage then sees no other parser's arrays.
+    return [xml_parser(record_tag), delimited_parser(), json_parser()]
 
 
 def with_text(files: DataFrame) -> DataFrame:

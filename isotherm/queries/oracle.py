@@ -57,11 +57,11 @@ ENDING = "['.csv', '.CSV', '.tsv', '.Tab', '.json', '.JSONL', '.ndjson', '.xml',
 DOCUMENTS = f"""
 WITH typed AS (
   SELECT doc_id, {_format('text')} AS format,
-         list_filter(regexp_split_to_array(text, '\\r\\n|\\r|\\n'), x -> regexp_matches(x, '[^{SPACE}]')) AS lines
+         [x FOR x IN regexp_split_to_array(text, '\\r\\n|\\r|\\n') IF regexp_matches(x, '[^{SPACE}]')] AS lines
   FROM documents),
 headed AS (
   SELECT doc_id, format, len(lines) AS n,
-         list_transform(string_split(lines[1], CASE format WHEN 'TSV' THEN chr(9) ELSE ',' END), x -> lower(trim(x))) AS cells
+         [lower(trim(x)) FOR x IN string_split(lines[1], CASE format WHEN 'TSV' THEN chr(9) ELSE ',' END)] AS cells
   FROM typed),
 judged AS (
   SELECT doc_id, format, CASE

@@ -5,18 +5,27 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+FILES_PER_ARROW_BATCH = 512
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the two session options that change results.
+    """Set the session options the operators count on.
 
-    A repeated JSON key takes its last value, and times are shown in UTC.
+    A repeated JSON key takes its last value, and times are shown in UTC. A row
+    here is a whole file, so Arrow batches hold few of them: Spark queues as
+    many rows beside its Python workers.
     """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if int(spark.conf.get(ARROW_ROWS)) > FILES_PER_ARROW_BATCH:
+        spark.conf.set(ARROW_ROWS, str(FILES_PER_ARROW_BATCH))
     return spark
 
 
@@ -42,12 +51,21 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/isotherm/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(spark: SparkSession, df, purpose: str):
-    """Write ``df`` below the shared folder and read it back.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` as checkpoint files in the shared folder, which outlive executors.
+
+    Values that depend on the partitioning (row numbers) are fixed by it.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
+def broadcast_if_few(df: DataFrame, most_rows: int) -> DataFrame:
+    """Ask for a broadcast if the rows are few; else leave the join to Spark.
 
-    Cuts the lineage at files that outlive any executor, so that values which
-    depend on the partitioning (row numbers) are fixed once.
+    Counts no further than the bound. For rows whose width is bounded too.
     """
-    path = scratch_path(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    few = df.limit(most_rows + 1).count() <= most_rows
+    return F.broadcast(df) if few else df

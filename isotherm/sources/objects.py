@@ -63,10 +63,12 @@ def fetch_objects(
     has ``bucket_url, object_name, content, read_error``: an object that could
     not be read has no content but an error, so that it can be reported.
     """
-    wanted = names.select("bucket_url", "object_name").distinct()
-    spread = ["bucket_url", "object_name"]
-    wanted = wanted.repartition(partitions, *spread) if partitions else wanted.repartition(*spread)
-    target = wanted.withColumn("bucket", bucket_name(F.col("bucket_url")))
+    keys = ["bucket_url", "object_name"]
+    wanted = names.select(*keys).distinct()
+    # The names are few bytes, the objects many: a given number of tasks keeps
+    # adaptive execution from fetching them all in one.
+    tasks = partitions or int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    target = wanted.repartition(tasks, *keys).withColumn("bucket", bucket_name(F.col("bucket_url")))
     schema = pa.schema(
         [
             ("bucket_url", pa.string()),
