@@ -25,7 +25,7 @@ def ingest_files(files: DataFrame, parsers: Sequence[Parser] | None = None) -> D
 def ingest_notifications(
     messages: DataFrame,
     contents: DataFrame | None = None,
-    location: str = "s3://{bucket}/{object}",
+    location: str = "s3://{bucket}",
     parsers: Sequence[Parser] | None = None,
     value: str = "value",
 ) -> DataFrame:

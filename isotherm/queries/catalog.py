@@ -278,7 +278,7 @@ def fetch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = root if "://" in root else f"file://{root}"
     named = messages.unionByName(messages.selectExpr("replace(value, 'part-', 'gone-') AS value"))
     # Text files have no telling name here, so that their content decides.
-    outcomes = ingest_notifications(named, location=store + "/{object}")
+    outcomes = ingest_notifications(named, location=store)
     return summary_rows(outcomes, "object_name").select(_drop_name("object_name").alias("file_name"), *SUMMARY_COLUMNS)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import time
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -44,19 +45,17 @@ def retry(
             sleep(waits[attempt])
 
 
-def _read_bytes(uri: str) -> bytes:
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(uri)
+def _read_bytes(store, path: str) -> bytes:
     with store.open_input_stream(path) as stream:
         return stream.read()
 
 
 def fetch_objects(
-    names: DataFrame, location: str = "s3://{bucket}/{object}", partitions: int | None = None
+    names: DataFrame, location: str = "s3://{bucket}", partitions: int | None = None
 ) -> DataFrame:
     """Open each named object once and return its bytes.
 
+    ``location`` is the URI of a bucket's root on any file system Arrow knows.
     ``names`` has ``bucket_url, object_name``; repeats are removed. The work
     grows with the objects named, not with the size of the store. An object
     that does not exist is not retried; any other error is, twice. The result
@@ -79,13 +78,19 @@ def fetch_objects(
     )
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
+        from pyarrow import fs
+
+        rows, size, roots = [], 0, {}
         for batch in batches:
             for row in batch.to_pylist():
-                uri = location.format(bucket=row["bucket"], object=row["object_name"])
+                bucket = row.pop("bucket")
+                if bucket not in roots:
+                    roots[bucket] = fs.FileSystem.from_uri(location.format(bucket=bucket))
+                store, root = roots[bucket]
+                path = f"{root.rstrip('/')}/{row['object_name']}"
                 content, error = None, None
                 try:
-                    content = retry(lambda uri=uri: _read_bytes(uri), final=(FileNotFoundError,))
+                    content = retry(partial(_read_bytes, store, path), final=(FileNotFoundError,))
                 except FileNotFoundError:
                     error = NOT_FOUND
                 except OSError as failure:
