@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from isotherm.functions.location import bucket_url
 from isotherm.functions.text import form_decoded, one_line
 from isotherm.operators.json_records import scalar_text
-from isotherm.operators.parser import with_expressions
+from isotherm.operators.observations import METADATA
+from isotherm.operators.parser import evaluated_once, with_expressions
 
 # --- fixed values ---------------------------------------------------------
 OBJECT_EVENT_SOURCE = "aws.s3"
@@ -57,7 +58,7 @@ def read_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
         "WHEN coalesce(_bucket_text, '') = '' OR coalesce(_key_text, '') = '' "
         f"THEN '{MISSING_FIELD}' WHEN object_name IS NULL THEN '{BAD_ESCAPE}' END"
     )
-    return decoded.select(
+    envelopes = decoded.select(
         *messages.columns,
         bucket_url(F.col("_bucket_text")).alias("bucket_url"),
         "object_name",
@@ -65,6 +66,7 @@ def read_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
         F.col("_source_text").alias("event_source"),
         F.expr(reason).alias("dead_reason"),
     )
+    return evaluated_once(envelopes, messages.columns, [*METADATA, "dead_reason"])
 
 
 def parse_notifications(messages: DataFrame, value: str = "value") -> DataFrame:

@@ -16,7 +16,7 @@ from isotherm.functions.text import sql_int, sql_list, sql_text, sql_trimmed, sq
 from isotherm.operators.delimited import delimited_parser
 from isotherm.operators.detect import detect_format
 from isotherm.operators.json_records import json_parser
-from isotherm.operators.parser import FIELDS, Parser, with_expressions
+from isotherm.operators.parser import FIELDS, Parser, evaluated_once, with_expressions
 from isotherm.operators.xml_records import DEFAULT_RECORD_TAG, xml_parser
 
 # --- fixed values ---------------------------------------------------------
@@ -159,4 +159,5 @@ def valid_observations(readings: DataFrame) -> DataFrame:
     Rows of files that fail elsewhere are still among them; use
     ``file_outcomes`` for the whole-file rule.
     """
-    return readings.where("date IS NOT NULL").select("file_id", "pos", "date", "city", "temperature")
+    settled = evaluated_once(readings, ["file_id", "pos"], FIELDS)
+    return settled.where("date IS NOT NULL")

@@ -11,7 +11,7 @@ evaluates a column once, but repeats an expression inside each branch of a CASE.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -53,6 +53,17 @@ def with_expressions(df: DataFrame, **expressions: str) -> DataFrame:
     return df.withColumns({name: F.expr(text) for name, text in expressions.items()})
 
 
+def evaluated_once(df: DataFrame, keep: Sequence[str], settle: Sequence[str]) -> DataFrame:
+    """Columns ``keep`` and ``settle``, the latter safe to filter on.
+
+    A filter sinks below the projections that compute its columns and takes a
+    copy of their expressions along, so that each row would be parsed over and
+    over. It does not sink below a generator: this one gives one row for one.
+    """
+    pairs = ", ".join(f"'{name}', {name}" for name in settle)
+    return df.selectExpr(*keep, f"inline_outer(array(named_struct({pairs})))")
+
+
 def read_records(name: str) -> Callable[[DataFrame], DataFrame]:
     """``read`` for a parser whose units are structs of the three texts."""
 
