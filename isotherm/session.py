@@ -62,10 +62,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def is_few(df: DataFrame, most_rows: int) -> bool:
+    """Whether there are at most so many rows; counts no further than that."""
+    return df.limit(most_rows + 1).count() <= most_rows
+
+
 def broadcast_if_few(df: DataFrame, most_rows: int) -> DataFrame:
     """Ask for a broadcast if the rows are few; else leave the join to Spark.
 
-    Counts no further than the bound. For rows whose width is bounded too.
+    For rows whose width is bounded too.
     """
-    few = df.limit(most_rows + 1).count() <= most_rows
-    return F.broadcast(df) if few else df
+    return F.broadcast(df) if is_few(df, most_rows) else df
