@@ -68,21 +68,20 @@ def open_files(files: DataFrame) -> DataFrame:
             "try_variant_get(_document, '$.records', 'array<variant>'), array(_document)) END"
         ),
     )
-    values = ", ".join(
-        f"'{f}', try_variant_get(n, '$.{f}', 'variant'), '{f}_text', try_variant_get(n, '$.{f}', 'string')"
-        for f in FIELDS
-    )
+    # The node goes along: fields whose text leaves a doubt are looked at again.
+    values = ", ".join(f"'{f}_text', try_variant_get(n, '$.{f}', 'string')" for f in FIELDS)
+    node = {f: f"try_variant_get(v.n, '$.{f}', 'variant')" for f in FIELDS}
     kind = "schema_of_variant(try_variant_get(n, '$.temperature', 'variant'))"
     texts = ", ".join(
         [
-            *[f"'{f}', {scalar_text(f'v.{f}', f'v.{f}_text', 'NULL')}" for f in ("date", "city")],
-            f"'temperature', {temperature_text('v.temperature', 'v.temperature_text', 'v.kind')}",
+            *[f"'{f}', {scalar_text(node[f], f'v.{f}_text', 'NULL')}" for f in ("date", "city")],
+            f"'temperature', {temperature_text(node['temperature'], 'v.temperature_text', 'v.kind')}",
         ]
     )
     return with_expressions(
         nodes,
         json_units=(
-            f"transform(transform(_nodes, n -> named_struct({values}, 'kind', {kind})), v -> named_struct({texts}))"
+            f"transform(transform(_nodes, n -> named_struct('n', n, {values}, 'kind', {kind})), v -> named_struct({texts}))"
         ),
         json_failure=f"CASE WHEN format = 'JSON' AND _document IS NULL THEN '{MALFORMED}' END",
     ).drop("_document", "_nodes")

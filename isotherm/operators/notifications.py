@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from isotherm.functions.location import bucket_url
 from isotherm.functions.text import form_decoded, one_line
-from isotherm.operators.json_records import scalar_text
 from isotherm.operators.observations import METADATA
 from isotherm.operators.parser import evaluated_once, with_expressions
 
@@ -35,6 +34,13 @@ def route_events(messages: DataFrame, bucket: str, value: str = "value") -> Data
     )
 
 
+def _field_text(path: str, plain: str) -> str:
+    """SQL for a scalar's text; an object or array counts as empty text."""
+    kind = f"schema_of_variant(try_variant_get(_document, '{path}', 'variant'))"
+    container = f"ascii({plain}) IN (91, 123) AND ({kind} LIKE 'OBJECT%' OR {kind} LIKE 'ARRAY%')"
+    return f"CASE WHEN {container} THEN '' ELSE {plain} END"
+
+
 def read_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     """All messages with the notification columns and ``dead_reason``.
 
@@ -44,13 +50,11 @@ def read_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     """
     paths = {"bucket": BUCKET_PATH, "key": KEY_PATH, "time": TIME_PATH, "source": SOURCE_PATH}
     parsed = messages.withColumn("_document", F.try_parse_json(F.col(value)))
-    values = with_expressions(
-        parsed, **{f"_{name}": f"try_variant_get(_document, '{path}', 'variant')" for name, path in paths.items()}
+    plain = with_expressions(
+        parsed, **{f"_{name}_plain": f"try_variant_get(_document, '{path}', 'string')" for name, path in paths.items()}
     )
-    plain = with_expressions(values, **{f"_{name}_plain": f"try_variant_get(_{name}, '$', 'string')" for name in paths})
-    # An object or array in place of a scalar counts as empty text.
     texts = with_expressions(
-        plain, **{f"_{name}_text": scalar_text(f"_{name}", f"_{name}_plain", "''") for name in paths}
+        plain, **{f"_{name}_text": _field_text(path, f"_{name}_plain") for name, path in paths.items()}
     )
     decoded = texts.withColumn("object_name", form_decoded(F.col("_key_text")))
     reason = (
