@@ -10,10 +10,15 @@ DEFAULT_TABLE = "temperature_summary"
 DEFAULT_ROWS = 20
 
 
-def run_sql(spark: SparkSession, text: str | None = None, table: str = DEFAULT_TABLE) -> DataFrame:
-    """Any SQL text; without one the first rows of the table by date."""
+def run_sql(
+    spark: SparkSession, text: str | None = None, table: str = DEFAULT_TABLE, **frames: DataFrame
+) -> DataFrame:
+    """Any SQL text; without one the first rows of the table by date.
+
+    ``frames`` may stand in the text as ``{name}`` where a table would.
+    """
     default = f"SELECT * FROM {resolve_table(table)} ORDER BY date LIMIT {DEFAULT_ROWS}"
-    return spark.sql(text or default)
+    return spark.sql(text or default, **frames)
 
 
 def list_tables(spark: SparkSession, namespace: str = "default") -> DataFrame:

@@ -227,19 +227,14 @@ def existing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return append_table(spark, sf_dir).select("date")
 
 
-def _result_view(spark: SparkSession, sf_dir: str) -> str:
-    name = f"summary_{uuid.uuid4().hex[:12]}"
-    daily_extremes_per_file(spark, sf_dir).createOrReplaceTempView(name)
-    return name
-
-
 def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = _result_view(spark, sf_dir)
-    return run_sql(spark, f"SELECT * FROM {view} ORDER BY date, user_id LIMIT 20")
+    summary = daily_extremes_per_file(spark, sf_dir)
+    return run_sql(spark, "SELECT * FROM {summary} ORDER BY date, user_id LIMIT 20", summary=summary)
 
 
 def rows_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_sql(spark, f"SELECT * FROM {_result_view(spark, sf_dir)} ORDER BY date")
+    summary = daily_extremes_per_file(spark, sf_dir)
+    return run_sql(spark, "SELECT * FROM {summary} ORDER BY date", summary=summary)
 
 
 # --- files on storage and streams -------------------------------------------
