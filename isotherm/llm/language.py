@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.llm.frames import texts
+from isotherm.session import configure
 
 WINDOW, EMBEDDING, FILTERS, WIDTHS = 128, 8, 16, (2, 3, 4)
 #: Labelled documents that the network is fitted on, chosen by a hash of the id, and windows of each.
@@ -175,24 +176,45 @@ def train(docs: DataFrame, most_docs: int = TRAIN_DOCS, per_doc: int = TRAIN_WIN
     return network
 
 
+class LanguageJudge:
+    """Language and score of a whole text."""
+
+    def __init__(self, network: ByteNetwork | None):
+        self.network = network
+        self.tables = network.tables() if network else None
+
+    def __call__(self, text: str) -> tuple[str, float]:
+        if self.network is None or not any(c.isalpha() for c in text):
+            return UNKNOWN, 0.0
+        mean = self.network.probabilities(windows(text), self.tables).mean(0, dtype=np.float64)
+        return self.network.languages[int(mean.argmax())], min(1.0, float(mean.max()))
+
+
 def identify(docs: DataFrame, network: ByteNetwork | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score`` of every whole text."""
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = network.tables() if network else None
+        judge = LanguageJudge(network)
         for batch in batches:
-            langs, scores = [], []
-            for text in batch.column(1).to_pylist():
-                if network is None or not any(c.isalpha() for c in text):
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                mean = network.probabilities(windows(text), tables).mean(0, dtype=np.float64)
-                langs.append(network.languages[int(mean.argmax())])
-                scores.append(min(1.0, float(mean.max())))
+            found = [judge(text) for text in batch.column(1).to_pylist()]
+            langs, scores = [lang for lang, _ in found], [score for _, score in found]
             columns = [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     rows = texts(docs, id_col=id_col, text_col=text_col)
     return rows.mapInArrow(task, "doc_id long, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, network: ByteNetwork | None, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is known with at least that score."""
+    place = docs.columns.index(text_col)
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = LanguageJudge(network)
+        for batch in batches:
+            found = [judge(text or "") for text in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))
+
+    configure(docs.sparkSession)
+    return docs.mapInArrow(task, docs.schema)

@@ -195,9 +195,9 @@ def _labelled(members: DataFrame, stars: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+    """One row per document: ``doc_id, n_shingles, component_id, kept, text_hash``.
 
-    Documents are linked if 100 * intersection >= similarity * union of their
+    ``text_hash`` (``hash(text)``) tells rows of one id apart. Documents are linked if 100 * intersection >= similarity * union of their
     sets; ``component_id`` is the smallest id reachable over links.
     """
     rows = texts(docs, id_col=id_col, text_col=text_col)
@@ -234,10 +234,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
         by_node = by_node.withColumn("label", F.col("node"))
     least = by_node.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = by_node.groupBy("node").agg(F.min("label").alias("label")).join(least, "label").select("node", "component_id")
-    found = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    found = signed.select("doc_id", "tag", "n_shingles", "node").join(named, "node", "left")
     own = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(own)
-    return found.select(own.alias("doc_id"), "n_shingles", component.alias("component_id"), own.eqNullSafe(component).alias("kept"))
+    kept = own.eqNullSafe(component).alias("kept")
+    return found.select(own.alias("doc_id"), "n_shingles", component.alias("component_id"), kept, F.col("tag").alias("text_hash"))
 
 
 def _links(pairs: DataFrame, bodies: DataFrame, words: int, similarity: int) -> DataFrame:

@@ -334,9 +334,10 @@ def slice_runs(length: int):
     return task
 
 
-def _texts_by_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = texts(docs, id_col=id_col, text_col=text_col)
-    return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.hash("text").alias("tag"))
+def _texts_by_key(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+    carried = [F.struct(*carry).alias("carried")] if carry else []
+    rows = texts(docs, *carried, id_col=id_col, text_col=text_col)
+    return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.hash("text").alias("tag"), *rows.columns[2:])
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, letter: int = LETTER) -> DataFrame:
@@ -371,12 +372,27 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, lett
     return found.unionByName(rest.select("doc_id", "tag", "first", F.lit(1).alias("starts")))
 
 
-def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, letter: int = LETTER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes)."""
+def cut_repeats(
+    docs: DataFrame,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    letter: int = LETTER,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: list[str] | None = None,
+    whole_characters: bool = False,
+) -> DataFrame:
+    """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes).
+
+    The columns named in ``carry`` come along as the struct ``carried``. With
+    ``whole_characters`` a character that is cut in two goes as a whole, so that
+    what remains is text.
+    """
     if length % letter or gram >= length:
         raise ValueError("length has to be a multiple of letter, and longer than gram")
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
-    rows = _texts_by_key(docs, id_col, text_col)
+    rows = _texts_by_key(docs, id_col, text_col, carry or [])
+    carried = ["carried"] if carry else []
     by_doc = repeated_spans(rows, length, gram, letter).groupBy("doc_id", "tag").agg(
         F.collect_list("first").alias("first"), F.collect_list("starts").alias("starts")
     )
@@ -394,12 +410,16 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, letter:
                 np.add.at(change, begin, 1)
                 np.add.at(change, begin + count + length - 1, -1)
                 removed = np.cumsum(change[:-1]) > 0
+                if whole_characters:
+                    character = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)
+                    removed = (np.bincount(character, removed) > 0)[character]
                 n_spans = np.count_nonzero(np.diff(removed.astype(np.int8), prepend=0) == 1)
                 kept = np.frombuffer(text, np.uint8)[~removed].tobytes()
                 out.append((len(text), int(removed.sum()), int(n_spans), kept))
             columns = [batch.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), list(schema)[1:], strict=True))]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[4:]], names=[*schema.names, *carried])
 
-    marked = rows.join(by_doc, ["doc_id", "tag"], "left").select("doc_id", "text", "first", "starts")
-    cut = marked.mapInArrow(task, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    marked = rows.join(by_doc, ["doc_id", "tag"], "left").select("doc_id", "text", "first", "starts", *carried)
+    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    cut = marked.mapInArrow(task, ddl + "".join(f", carried {marked.schema[c].dataType.simpleString()}" for c in carried))
     return cut.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
