@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import byte_bpe, chat, exact_dedup, language, near_dedup, packing, quality, repeats, topk
+from isotherm.llm import byte_bpe, chat, exact_dedup, language, lines, near_dedup, packing, quality, repeats, topk
 from isotherm.llm.frames import table
 
 
@@ -26,6 +26,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -65,6 +69,7 @@ QUERIES = {
         op1_chat_formatting,
         op2_byte_bpe,
         op3_minhash_near_dedup,
+        op4_line_dedup,
         op5_best_fit_packing,
         op6_language_id,
         op7_suffix_array_dedup,
@@ -75,6 +80,33 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_line_dedup": """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(
+    string_split(translate(parts[line_no + 1], chr(9) || chr(13), '  '), ' '), lambda w: w <> ''))) AS words
+  FROM (SELECT doc_id, parts, unnest(range(len(parts))) AS line_no FROM docs)
+), sets AS (
+  SELECT words, len(words) AS n, row_number() OVER (ORDER BY min((doc_id, line_no))) AS node, min((doc_id, line_no)) AS first
+  FROM lines WHERE len(words) > 0 GROUP BY words
+), entries AS (SELECT node, n, unnest(words) AS word FROM sets),
+common AS (
+  SELECT b.node AS node, count(*) AS same, any_value(a.n) AS n_a, any_value(b.n) AS n_b
+  FROM entries b JOIN entries a ON a.word = b.word AND a.node < b.node AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+  GROUP BY b.node, a.node
+), near AS (SELECT DISTINCT node FROM common WHERE 5 * same >= 4 * (n_a + n_b - same)),
+gone AS (
+  SELECT l.doc_id, l.line_no, (l.doc_id, l.line_no) = s.first AS is_first
+  FROM lines l JOIN sets s ON s.words = l.words LEFT JOIN near USING (node)
+  WHERE near.node IS NOT NULL OR (l.doc_id, l.line_no) <> s.first
+), per_doc AS (SELECT doc_id, list(line_no) AS places, count(*) AS n, count(*) FILTER (WHERE is_first) AS n_near FROM gone GROUP BY doc_id)
+SELECT doc_id,
+  CAST(len(parts) AS BIGINT) AS n_lines,
+  CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+  sha256(coalesce(array_to_string(list_filter(parts, lambda p, i: NOT list_contains(coalesce(places, []), i - 1)), chr(10)), '')) AS kept_sha256
+FROM docs LEFT JOIN per_doc USING (doc_id)
+""",
     "op9_exact_top_k": """
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
