@@ -1,0 +1,193 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from isotherm.llm import near_dedup, repeats
+from isotherm.llm.components import connected
+from isotherm.llm.lines import line_digests, removed_lines
+from llm_fixtures import clashing, components, doc_frame, repeated_bytes, shingle_set
+
+
+def changed(text, rng, times):
+    words = text.split(" ")
+    for _ in range(times):
+        words[rng.randrange(len(words))] = "new" + str(rng.randrange(10**6))
+    return " ".join(words)
+
+
+def corpus(seed, n=12):
+    rng = random.Random(seed)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(500)]
+    base = [" ".join(rng.choices(words, k=rng.randint(60, 200))) for _ in range(n)]
+    texts = [*base, *(changed(rng.choice(base), rng, rng.randint(0, 12)) for _ in range(4 * n))]
+    return texts
+
+
+# --- near duplicates ----------------------------------------------------------
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 130)] + [(200, 201), (201, 200), (300, 300)]
+    got = {(r.a, r.b) for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {(i, 0) for i in range(1, 41)} | {(x, 100) for x in range(101, 130)} | {(201, 200)}
+
+
+def test_estimate_follows_similarity(spark):
+    rng, signer, rows = np.random.default_rng(1), near_dedup.Signer(), []
+    for share in np.linspace(0.1, 1, 40):
+        pool = rng.integers(0, 2**63, 1000, dtype=np.uint64)
+        own = rng.integers(0, 2**63, 1000, dtype=np.uint64)
+        n = int(2 * share / (1 + share) * 1000)
+        other = np.concatenate([pool[:n], own[n:]])
+        signatures = [signer.signature(signer.minima(x)).tolist() for x in (pool, other)]
+        rows.append((*signatures, n / (2000 - n)))
+    frame = spark.createDataFrame(rows, "a array<long>, b array<long>, similarity double")
+    for row in frame.select("similarity", near_dedup.estimate("a", "b").alias("guess")).collect():
+        assert abs(row.guess - row.similarity) < 0.25
+
+
+@pytest.mark.parametrize(("words", "clash"), [(4, False), (5, True)])
+def test_near_duplicates(spark, words, clash):
+    texts = [*corpus(words), None, "", " \n\t", "One two", "one TWO", "one", "one\x0btwo", "ä b c d", "Ä b c d", "w " * 30_000]
+    docs = doc_frame(spark, texts)
+    sets = {i: shingle_set(t, words) for i, t in enumerate(texts)}
+
+    def linked(a, b):
+        both = len(sets[a] & sets[b])
+        return both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)
+
+    label = components(range(len(texts)), linked)
+    got = near_dedup.near_duplicates(clashing(docs) if clash else docs, words=words).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {i: (len(sets[i]), label[i], label[i] == i) for i in sets}
+
+
+def test_a_large_group_of_near_copies_makes_few_pairs(spark):
+    rng, base = random.Random(4), " ".join(str(i) for i in range(300))
+    docs = doc_frame(spark, [changed(base, rng, 3) for _ in range(300)])
+    got = near_dedup.near_duplicates(docs, words=5).collect()
+    assert {r.component_id for r in got} == {0}
+
+
+def test_near_duplicates_defined_cases(spark):
+    docs = doc_frame(spark, ["a b c d e f", "a b c d e f", "x y", None, "a b c d e f", "q r s"], [5, None, 7, None, 5, 7])
+    got = sorted(repr((r.doc_id, r.n_shingles, r.component_id, r.kept)) for r in near_dedup.near_duplicates(docs).collect())
+    want = [(5, 2, 5, True), (5, 2, 5, True), (None, 2, 5, False), (7, 1, 7, True), (7, 1, 7, True), (None, 0, None, True)]
+    assert got == sorted(map(repr, want))
+    assert near_dedup.near_duplicates(doc_frame(spark, [])).collect() == []
+
+
+# --- repeated passages --------------------------------------------------------
+
+
+def test_merged_transforms_against_counting():
+    rng, hashes = random.Random(3), repeats.PolynomialHash(12345677, 3)
+    for trial in range(150):
+        base = bytes(rng.choice(b"ab" if trial % 2 else b"abcdefgh") for _ in range(60))
+        runs = []
+        for _ in range(rng.randint(1, 12)):
+            run = bytearray(base[rng.randint(0, 20) : rng.randint(40, 60)])
+            for _ in range(rng.randint(0, 2)):
+                run[rng.randrange(len(run))] = rng.choice(b"ab")
+            runs.append(bytes(run))
+        if trial % 5 == 0:
+            runs.append(b"a" * 50)
+        seen = Counter(r[i : i + 20] for r in runs for i in range(len(r) - 19))
+        want = [[i for i in range(len(r) - 19) if seen[r[i : i + 20]] > 1] for r in runs]
+        for shards in (1, 2, 3):
+            assert [x.tolist() for x in repeats.repeated_starts(runs, 20, 4, hashes, shards)] == want
+
+
+PASSAGE = " ".join(f"shared{i}" for i in range(60))
+
+
+def passages(seed):
+    rng = random.Random(seed)
+    own = ["".join(rng.choices("abcdefgh  ", k=rng.randint(0, 900))) for _ in range(25)]
+    texts = [x[: len(x) // 2] + PASSAGE[rng.randint(0, 150) : rng.randint(200, 500)] + x[len(x) // 2 :] for x in own]
+    return [*texts, texts[3], texts[4] + "tail", "ß" * 300, "x" * 199, "y" * 200, "y" * 200, "z" * 6000, "", None, "é" + PASSAGE + "é", "ab" * 400]
+
+
+@pytest.mark.parametrize(("large", "clash"), [(1 << 20, False), (300, True)])
+def test_cut_repeats(spark, monkeypatch, large, clash):
+    monkeypatch.setattr(repeats, "MOST_KEY_BYTES", large)
+    texts = passages(large)
+    data = [(t or "").encode() for t in texts]
+    docs = doc_frame(spark, texts)
+    got = {r.doc_id: r for r in repeats.cut_repeats(clashing(docs) if clash else docs).collect()}
+    assert len(got) == len(texts)
+    for i, marks in enumerate(repeated_bytes(data, 200)):
+        row = got[i]
+        assert (row.n_bytes, row.n_removed) == (len(data[i]), sum(marks))
+        assert row.n_spans == sum(m and not (k and marks[k - 1]) for k, m in enumerate(marks))
+        assert bytes(row.kept) == bytes(b for b, m in zip(data[i], marks, strict=True) if not m)
+
+
+def test_long_texts_are_hashed_in_segments(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SEGMENT", 700)
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdef", k=3000)) for _ in range(3)]
+    texts.append(texts[0][400:1900] + texts[1][5:300])
+    data = [t.encode() for t in texts]
+    scanner = repeats.RunScanner(200, 64)
+    assert scanner.runs(np.frombuffer(data[0], np.uint8))[3].sum() == 3000 - 199
+    got = {r.doc_id: r.n_removed for r in repeats.cut_repeats(doc_frame(spark, texts)).collect()}
+    assert got == {i: sum(m) for i, m in enumerate(repeated_bytes(data, 200))}
+
+
+def test_cut_repeats_defined_cases(spark):
+    same = PASSAGE + " one"
+    docs = doc_frame(spark, [same, same, "short", PASSAGE, None], [1, 1, 1, None, None])
+    got = sorted((repr(r.doc_id), r.n_bytes, r.n_removed, r.carried.lang) for r in repeats.cut_repeats(docs, carry=["lang", "n_chars"]).collect())
+    n = len(same)
+    assert got == sorted([("1", n, n, "en"), ("1", n, n, "en"), ("1", 5, 0, "en"), ("None", n - 4, n - 4, "en"), ("None", 0, 0, "en")])
+    assert repeats.cut_repeats(doc_frame(spark, [])).collect() == []
+
+
+def test_whole_characters(spark):
+    middle = "é" * 150
+    docs = doc_frame(spark, ["Ω" + middle + "Ω", "Ѡ" + middle + "Ѡ"])  # the last byte of Ω is that of é
+    got = {r.doc_id: bytes(r.kept).decode() for r in repeats.cut_repeats(docs, whole_characters=True).collect()}
+    assert got == {0: "Ω", 1: "ѠѠ"}
+
+
+# --- lines ---------------------------------------------------------------------
+
+
+def lines_by_brute_force(texts):
+    order, sets = [], []
+    for i, text in enumerate(texts):
+        for n, line in enumerate((text or "").split("\n")):
+            order.append((i, n))
+            sets.append(frozenset(line.replace("\t", " ").replace("\r", " ").split(" ")) - {""})
+    gone = {}
+    for k, at in enumerate(order):
+        if sets[k] and any(5 * len(sets[k] & s) >= 4 * len(sets[k] | s) for s in sets[:k] if s):
+            gone.setdefault(at[0], []).append(at[1])
+    return gone
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_lines(spark, clash):
+    rng = random.Random(11 + clash)
+    words = ["".join(rng.choices("abcd", k=rng.randint(1, 4))) for _ in range(60)]
+    base = [" ".join(rng.choices(words, k=rng.randint(1, 25))) for _ in range(30)]
+    texts = ["\n".join(changed(rng.choice(base), rng, rng.randint(0, 2)) for _ in range(rng.randint(0, 9))) for _ in range(30)]
+    texts += [None, "", "\n\n", "a\tb\r", "b a", "b  a\n" * 5, "Ünï cödé", "é " * 20_000 + "\nz"]
+    gone = lines_by_brute_force(texts)
+    docs = clashing(doc_frame(spark, texts)) if clash else doc_frame(spark, texts)
+    assert {r.doc_id: list(r.removed) for r in removed_lines(docs).collect()} == gone
+    for row in line_digests(docs).collect():
+        lines = (texts[row.doc_id] or "").split("\n")
+        kept = "\n".join(x for n, x in enumerate(lines) if n not in gone.get(row.doc_id, []))
+        assert (row.n_lines, row.n_removed) == (len(lines), len(gone.get(row.doc_id, [])))
+        assert row.kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def test_lines_defined_cases(spark):
+    docs = doc_frame(spark, ["a b c\nx", "a b c\nx", "a b c", None, "x"], [1, 1, None, None, 2])
+    got = sorted((repr(r.doc_id), r.n_lines, r.n_removed) for r in line_digests(docs).collect())
+    assert got == sorted([("None", 1, 0), ("None", 1, 0), ("1", 2, 1), ("1", 2, 1), ("2", 1, 1)])
+    assert line_digests(doc_frame(spark, [])).collect() == []

@@ -1,0 +1,102 @@
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from isotherm.llm.packing import fullest, pack_documents, plan_sequences, word_tokens
+from llm_fixtures import clashing, doc_frame
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+TEXTS = [
+    None,
+    "",
+    "one two three",
+    "Ünïcode STRASSE naïve x ΣΑΣ 日本語 <|endoftext|> it's 12½",
+    "a\x1cb \x0b c d é",
+    "word " * 700,
+    "the same",
+    "the same",
+    "x" * 20_000,
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+@pytest.mark.parametrize("text", [t for t in TEXTS if t])
+def test_ids_as_the_library(library, text):
+    got = np.frombuffer(word_tokens(PATH).encode(text), "<u4").tolist()
+    assert got == library.encode(text, add_special_tokens=False).ids
+
+
+def test_fullest_against_all_combinations():
+    rng = np.random.default_rng(3)
+    for _ in range(150):
+        lengths, room = rng.integers(1, 20, rng.integers(1, 9)).tolist(), int(rng.integers(0, 45))
+        best = max(s for n in range(len(lengths) + 1) for c in combinations(lengths, n) if (s := sum(c)) <= room)
+        chosen = fullest(Counter(lengths), room)
+        assert sum(chosen) == best
+        assert not Counter(chosen) - Counter(lengths)
+
+
+def first_fit_decreasing(lengths, room):
+    left = []
+    for x in sorted(lengths, reverse=True):
+        at = next((i for i, free in enumerate(left) if free >= x), None)
+        if at is None:
+            left.append(room - x)
+        else:
+            left[at] -= x
+    return len(left)
+
+
+@pytest.mark.parametrize("longest", [20, 60, 100])
+def test_plan_uses_every_piece_once(longest):
+    lengths = np.random.default_rng(longest).integers(1, longest + 1, 3000).tolist()
+    plan = plan_sequences(Counter(lengths), 100)
+    used = Counter()
+    for combination, times in plan:
+        assert sum(combination) <= 100
+        for x in combination:
+            used[x] += times
+    assert used == Counter(lengths)
+    sequences = sum(times for _, times in plan)
+    assert sequences <= first_fit_decreasing(lengths, 100)
+    assert longest > 60 or sequences <= -(-sum(lengths) // 100) + 1
+
+
+@pytest.mark.parametrize("most", [4096, 64])
+def test_pieces(spark, library, most):
+    docs = clashing(doc_frame(spark, TEXTS, [*range(len(TEXTS) - 1), None]))
+    rows = pack_documents(docs, PATH, most, with_ids=True).collect()
+    want = []
+    for i, text in enumerate(TEXTS):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        for piece, at in enumerate(range(0, len(ids), most)):
+            part = np.array(ids[at : at + most], "<u4").tobytes()
+            want.append((i if i < len(TEXTS) - 1 else None, piece, at, len(part) // 4, zlib.crc32(part), part))
+    got = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32, bytes(r.ids)) for r in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    by_sequence = defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= most
+    assert len(by_sequence) <= -(-sum(r.length for r in rows) // most) + 1
+
+
+def test_empty_table(spark):
+    assert pack_documents(doc_frame(spark, []), PATH).collect() == []
