@@ -34,55 +34,49 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Places by rank, lowest rank first, then lowest place."""
+    """Places by rank: a bucket for each rank, and a bitmap of the filled ones in two levels.
 
-    BITS = 8
+    ``leaves`` has a bit per rank, 256 to a word; the top level, held by ``merge``
+    itself, has a bit per word. All is empty between two pre-tokens.
+    """
 
     def __init__(self, ranks: int):
-        self.leaves = [0] * ((ranks >> self.BITS) + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, place: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, place)
-            return
-        self.buckets[rank] = [place]
-        leaf = rank >> 8
-        self.leaves[leaf] |= 1 << (rank & 255)
-        self.top |= 1 << leaf
-
-    def pop(self) -> tuple[int, int]:
-        """The first entry, by find-first-set in both levels."""
-        top, leaves = self.top, self.leaves
-        leaf = (top & -top).bit_length() - 1
-        bits = leaves[leaf]
-        rank = leaf << 8 | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        place = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            leaves[leaf] = bits & (bits - 1)
-            if not leaves[leaf]:
-                self.top = top & (top - 1)
-        return rank, place
+        self.leaves = [0] * ((ranks >> 8) + 1)
+        self.buckets: list[list[int]] = [[] for _ in range(ranks)]
+
+
+_BIT = [1 << i for i in range(256)]
 
 
 def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
-    """Ids of one pre-token. ``queue`` is empty before and after."""
+    """Ids of one pre-token. The queue's steps stand in the loop, as a call for each would double the time."""
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
-    n, get, push, pop = len(piece), ranks.get, queue.push, queue.pop
+    n, get, leaves, buckets, bit, top = len(piece), ranks.get, queue.leaves, queue.buckets, _BIT, 0
     after, before, pair = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
     for i in range(n - 1):
         rank = get(piece[i : i + 2])
         if rank is not None:
             pair[i] = rank
-            push(rank, i)
-    while queue.top:
-        rank, i = pop()
+            bucket = buckets[rank]
+            if not bucket:
+                leaf = rank >> 8
+                leaves[leaf] |= bit[rank & 255]
+                top |= 1 << leaf
+            bucket.append(i)  # ascending, so the bucket is a heap
+    while top:
+        # Find first set in both levels, and the leftmost place of that rank.
+        leaf = (top & -top).bit_length() - 1
+        bits = leaves[leaf]
+        rank = leaf << 8 | (bits & -bits).bit_length() - 1
+        bucket = buckets[rank]
+        i = heappop(bucket)
+        if not bucket:
+            bits &= bits - 1
+            leaves[leaf] = bits
+            if not bits:
+                top &= top - 1
         if pair[i] != rank:
             continue  # stale: the pair at this place is another by now
         gone = after[i]
@@ -94,13 +88,25 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
             rank = get(piece[i : after[end]])
             if rank is not None:
                 pair[i] = rank
-                push(rank, i)
+                bucket = buckets[rank]
+                if not bucket:
+                    leaf = rank >> 8
+                    leaves[leaf] |= bit[rank & 255]
+                    top |= 1 << leaf
+                heappush(bucket, i)
         left = before[i]
         if left >= 0:
             rank = get(piece[left:end])
-            pair[left] = -1 if rank is None else rank
-            if rank is not None:
-                push(rank, left)
+            if rank is None:
+                pair[left] = -1
+            else:
+                pair[left] = rank
+                bucket = buckets[rank]
+                if not bucket:
+                    leaf = rank >> 8
+                    leaves[leaf] |= bit[rank & 255]
+                    top |= 1 << leaf
+                heappush(bucket, left)
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : after[i]]])

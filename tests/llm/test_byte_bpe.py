@@ -37,13 +37,28 @@ def library():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def test_queue_order():
-    queue, rng = RankQueue(60_000), np.random.default_rng(5)
-    entries = [(int(r), int(p)) for r, p in zip(rng.choice([0, 1, 63, 64, 255, 256, 50_255, *range(1000)], 500), rng.integers(0, 99, 500), strict=True)]
-    for rank, place in entries:
-        queue.push(rank, place)
-    assert [queue.pop() for _ in entries] == sorted(entries)
-    assert not queue.top and not any(queue.leaves)
+def plain_merge(piece, ranks):
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while len(parts) > 1:
+        rank, at = min((ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+        if rank == 1 << 60:
+            break
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return [ranks[p] for p in parts]
+
+
+def test_merge_by_any_ranks():
+    """Rank orders that no training would give: longer tokens before their parts."""
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        tokens = {bytes(rng.choice(list(b"abc"), rng.integers(2, 6)).tolist()) for _ in range(rng.integers(1, 25))}
+        order = rng.permutation(600)[: len(tokens)] + 3
+        ranks = {b"a": 0, b"b": 1, b"c": 2} | {t: int(r) for t, r in zip(sorted(tokens), order, strict=True)}
+        queue = RankQueue(700)
+        for _ in range(5):
+            piece = bytes(rng.choice(list(b"abc"), rng.integers(1, 30)).tolist())
+            assert merge(piece, ranks, queue) == ([ranks[piece]] if piece in ranks else plain_merge(piece, ranks))
+        assert not any(queue.leaves) and not any(queue.buckets)
 
 
 @pytest.mark.parametrize("text", [t for t in TEXTS if t is not None])
