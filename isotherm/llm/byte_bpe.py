@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from isotherm.llm.frames import in_batches, texts
 
 #: Entries that a worker keeps; beyond, it starts anew. Bounds memory only.
-MOST_CHUNKS, MOST_TOKENS, LONGEST_KEPT = 600_000, 400_000, 64
+MOST_CHUNKS, MOST_TOKENS, LONGEST_KEPT = 1_000_000, 1_000_000, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
