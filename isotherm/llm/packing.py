@@ -212,7 +212,8 @@ def pack(pieces: DataFrame, most: int = 4096) -> DataFrame:
     first = by_task.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     histogram = dict(by_task.groupBy("length").agg(F.sum("n")).collect())  # at most `most` rows
     places = places_by_length(plan_sequences(histogram, most))
-    ranked = pieces.join(first, ["task", "length"]).withColumn("rank", F.col("first") + F.col("place")).drop("first", "task", "place")
+    # Rows of `first` grow with the number of tasks, so it is not for a broadcast.
+    ranked = pieces.join(first.hint("merge"), ["task", "length"]).withColumn("rank", F.col("first") + F.col("place")).drop("first", "task", "place")
     kept = [c for c in ranked.columns if c != "rank"]
     fields = [ranked.schema[c] for c in kept]
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", sequence_id long, offset long"
