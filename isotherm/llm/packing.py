@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from isotherm.llm.frames import in_batches, stored, texts
 
 #: Entries a worker keeps of each cache; beyond, it starts anew.
-MOST_CHUNKS, MOST_WORDS, LONGEST_KEPT = 600_000, 400_000, 64
+MOST_CHUNKS, MOST_WORDS, LONGEST_KEPT = 1_000_000, 800_000, 64
 #: White space for str.split that the tokenizer takes for ordinary characters.
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
 #: Below this code point our pattern engine and the tokenizer's agree on letters and digits.
