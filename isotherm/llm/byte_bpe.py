@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from isotherm.llm.frames import in_batches, texts
+from isotherm.llm.frames import in_batches, per_process, texts
 
 #: Entries that a worker keeps; beyond, it starts anew. Bounds memory only.
 MOST_CHUNKS, MOST_TOKENS, LONGEST_KEPT = 1_000_000, 1_000_000, 64
@@ -183,14 +183,9 @@ class ByteBpe:
         return b"".join(map(self.words.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_MADE: dict[tuple[str, str], ByteBpe] = {}
-
-
 def codec(path: str, pattern: str) -> ByteBpe:
     """One per worker process, which keeps its cache from task to task."""
-    if (path, pattern) not in _MADE:
-        _MADE[path, pattern] = ByteBpe(path, pattern)
-    return _MADE[path, pattern]
+    return per_process(("byte_bpe", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

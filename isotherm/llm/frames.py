@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterable, Iterator
+import sys
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,5 +53,13 @@ def in_batches(batches: Iterable[pa.RecordBatch], step, schema: pa.Schema) -> It
             yield pa.RecordBatch.from_arrays(step(batch), schema=schema)
 
 
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+def per_process(key: Hashable, make: Callable):
+    """What ``make`` gives, made once per worker process.
+
+    Functions reach the workers by value, so globals of their modules start anew
+    with every task; the interpreter's own module does not.
+    """
+    kept = sys.__dict__.setdefault("_isotherm_llm", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

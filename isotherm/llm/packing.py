@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isotherm.llm.frames import in_batches, stored, texts
+from isotherm.llm.frames import in_batches, per_process, stored, texts
 
 #: Entries a worker keeps of each cache; beyond, it starts anew.
 MOST_CHUNKS, MOST_WORDS, LONGEST_KEPT = 1_000_000, 800_000, 64
@@ -86,13 +86,8 @@ class WordTokens(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_MADE: dict[str, WordTokens] = {}
-
-
 def word_tokens(path: str) -> WordTokens:
-    if path not in _MADE:
-        _MADE[path] = WordTokens(path)
-    return _MADE[path]
+    return per_process(("word_tokens", path), lambda: WordTokens(path))
 
 
 PIECES = [
