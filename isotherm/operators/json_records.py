@@ -17,6 +17,10 @@ ABSENT_TEMPERATURE = "0"
 
 MISSING = "No text or number for: "
 MALFORMED = "Malformed JSON document"
+#: A single value has to fit Spark's VARIANT; records of an array are values of their own.
+MOST_VALUE_BYTES = 128 << 20
+TOO_LARGE = "JSON object that is malformed or has no records and more than 128 MiB"
+STRICT = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 
 
 def scalar_text(value: str, text: str, container: str) -> str:
@@ -56,18 +60,27 @@ def temperature_text(value: str, text: str, kind: str) -> str:
 def open_files(files: DataFrame) -> DataFrame:
     """Only the first JSON value of a file counts; text after it is ignored."""
     body = "CASE WHEN startswith(text, '\\ufeff') THEN substring(text, 2) ELSE text END"
-    parsed = with_expressions(
+    # The records are read one by one, so that only each of them has to fit a VARIANT, not the file.
+    rooted = with_expressions(
         files,
-        _document=f"CASE WHEN format = 'JSON' AND is_valid_utf8(CAST(content AS STRING)) THEN try_parse_json({body}) END",
+        _root=(
+            "CASE WHEN format = 'JSON' AND is_valid_utf8(CAST(content AS STRING)) THEN "
+            f"CASE WHEN ascii({body}) IN (91, 123) THEN ascii({body}) ELSE ascii(ltrim(' \\t\\r\\n', {body})) END END"
+        ),
     )
-    nodes = with_expressions(
-        parsed,
-        _nodes=(
-            "CASE WHEN _document IS NULL THEN array() ELSE "
-            "coalesce(try_variant_get(_document, '$', 'array<variant>'), "
-            "try_variant_get(_document, '$.records', 'array<variant>'), array(_document)) END"
+    listed = with_expressions(
+        rooted,
+        _listed=(
+            f"CASE WHEN _root = 91 THEN from_json({body}, 'array<variant>', {STRICT}) "
+            f"WHEN _root = 123 THEN from_json({body}, 'records array<variant>', {STRICT}).records END"
         ),
     )
+    parsed = with_expressions(
+        listed, _document=f"CASE WHEN _root <> 91 AND _listed IS NULL THEN try_parse_json({body}) END"
+    )
+    nodes = with_expressions(
+        parsed, _nodes="CASE WHEN _listed IS NOT NULL THEN _listed WHEN _document IS NULL THEN array() ELSE array(_document) END"
+    )
     # The node goes along: fields whose text leaves a doubt are looked at again.
     values = ", ".join(f"'{f}_text', try_variant_get(n, '$.{f}', 'string')" for f in FIELDS)
     node = {f: f"try_variant_get(v.n, '$.{f}', 'variant')" for f in FIELDS}
@@ -83,8 +96,11 @@ def open_files(files: DataFrame) -> DataFrame:
         json_units=(
             f"transform(transform(_nodes, n -> named_struct('n', n, {values}, 'kind', {kind})), v -> named_struct({texts}))"
         ),
-        json_failure=f"CASE WHEN format = 'JSON' AND _document IS NULL THEN '{MALFORMED}' END",
-    ).drop("_document", "_nodes")
+        json_failure=(
+            "CASE WHEN format = 'JSON' AND _document IS NULL AND _listed IS NULL THEN "
+            f"CASE WHEN _root = 123 AND octet_length(text) > {MOST_VALUE_BYTES} THEN '{TOO_LARGE}' ELSE '{MALFORMED}' END END"
+        ),
+    ).drop("_document", "_nodes", "_listed", "_root")
 
 
 def json_parser() -> Parser:

@@ -1,5 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
+from isotherm import ingest_files
+from isotherm.operators.json_records import TOO_LARGE, json_parser
 from tests.helpers import results
 
 OK = [("d", 84, "c", 84, "c")]
@@ -56,6 +59,14 @@ CASES = [
     ("text root", '"abc"', FAIL),
     ("null root", "null", FAIL),
     ("malformed", "[" + rec(84), FAIL),
+    ("malformed behind the records", '{"records":[' + rec(84) + '],"x":', FAIL),
+    ("malformed element", "[" + rec(84) + ",{]", FAIL),
+    ("single quotes", "[{'date':'d','city':'c','temperature':84}]", FAIL),
+    ("not a number", '[{"date":"d","city":"c","temperature":NaN}]', FAIL),
+    ("white space before the array", " \r\n\t[" + rec(84) + "]", OK),
+    ("records of two keys: last", '{"records":[],"records":[' + rec(84) + "]}", OK),
+    ("record of arrays", "[[]]", FAIL),
+    ("records in an array of one", '[{"records":[' + rec(84) + "]}]", FAIL),
     ("empty", "", FAIL),
     ("repeated key: last", '{"date":"x","date":"d","city":"c","temperature":1,"temperature":84}', OK),
     ("byte order mark", "﻿" + rec(84), OK),
@@ -80,3 +91,19 @@ def test_json(json_results, i):
         assert status == "FAILURE" and got
     else:
         assert (status, got) == ("SUCCESS", expected)
+
+
+def test_a_file_larger_than_a_variant(spark):
+    """As a whole beyond the 128 MiB of a VARIANT, its records not."""
+    record = "concat(repeat(concat('{\"date\":\"d\",\"city\":\"', repeat('x', 2000), '\",\"temperature\":84},'), 70000), '{\"date\":\"e\",\"city\":\"c\",\"temperature\":1}')"
+    files = spark.range(1).selectExpr("id AS file_id", "'JSON' AS format", f"concat('[', {record}, ']') AS text")
+    assert files.select(F.octet_length("text").alias("n")).first().n > 140_000_000
+    row = ingest_files(files, [json_parser()]).select("status", "records.date", "records.max_temp").first()
+    assert (row.status, row.date, row.max_temp) == ("SUCCESS", ["d", "e"], [84, 1])
+
+
+def test_a_large_object_without_records_has_its_own_message(spark):
+    text = "concat('{\"date\":\"', repeat('x', 140000000), '\"}')"
+    files = spark.range(1).selectExpr("id AS file_id", "'JSON' AS format", f"{text} AS text")
+    row = ingest_files(files, [json_parser()]).select("status", "error_message").first()
+    assert (row.status, row.error_message) == ("FAILURE", TOO_LARGE)
