@@ -19,10 +19,16 @@ from isotherm.operators.outcomes import file_outcomes, summary_rows
 from isotherm.operators.payloads import number_payloads, payload_files
 from isotherm.operators.summarize import daily_extremes
 from isotherm.plans.adhoc import list_tables, run_sql, write_csv
-from isotherm.plans.ingest import ingest_files, ingest_notifications, ingest_payloads
+from isotherm.plans.ingest import (
+    ingest_files,
+    ingest_notifications,
+    ingest_payloads,
+    notification_misses,
+    notification_outcomes,
+)
 from isotherm.session import configure
 from isotherm.sinks.table import append_rows, create_table, dedupe_rows, write_outcomes
-from isotherm.streaming.jobs import stream_notifications, stream_payloads
+from isotherm.streaming.jobs import stream_files, stream_notifications, stream_payloads
 
 __all__ = [
     "anti_join_existing",
@@ -42,6 +48,8 @@ __all__ = [
     "ingest_payloads",
     "list_tables",
     "missing_objects",
+    "notification_misses",
+    "notification_outcomes",
     "number_payloads",
     "parse_files",
     "parse_notifications",
@@ -50,6 +58,7 @@ __all__ = [
     "read_objects",
     "route_events",
     "run_sql",
+    "stream_files",
     "stream_notifications",
     "stream_payloads",
     "summary_rows",

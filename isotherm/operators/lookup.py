@@ -6,14 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.functions.location import bucket_name
-from isotherm.session import broadcast_if_few
 
 KEYS = ["_bucket", "object_name"]
 
-# Names and notifications are short (object keys end at 1 KiB), so this many
-# stay far below what a broadcast may hold.
-BROADCAST_ROWS = 100_000
-
 
 def _by_key(df: DataFrame) -> DataFrame:
     return df.withColumn("_bucket", bucket_name(F.col("bucket_url")))
@@ -23,12 +18,12 @@ def read_objects(notifications: DataFrame, contents: DataFrame) -> DataFrame:
     """Each notification with its object; those without one give no row.
 
     ``contents`` has ``bucket_url, object_name`` and the payload columns. A
-    repeated notification gives a repeated row. Few notifications are brought
-    to the objects, so that no payload is shuffled; many meet them in a sort
-    merge join, where adaptive execution splits a skewed key.
+    repeated notification gives a repeated row. Spark brings the notifications
+    to the objects if their bytes are few; else both meet in a sort merge join,
+    where adaptive execution splits a skewed key.
     """
     found = _by_key(contents).drop("bucket_url")
-    return broadcast_if_few(_by_key(notifications), BROADCAST_ROWS).join(found, KEYS, "inner").drop("_bucket")
+    return _by_key(notifications).join(found, KEYS, "inner").drop("_bucket")
 
 
 def missing_objects(notifications: DataFrame, contents: DataFrame) -> DataFrame:
@@ -42,7 +37,7 @@ def notified_objects(notifications: DataFrame, contents: DataFrame) -> DataFrame
 
     The names are made distinct first (combined on the map side, so an object
     notified a million times travels once per task) and only then meet the
-    payloads, as a semi-join; few names are broadcast to them.
+    payloads, as a semi-join.
     """
-    names = broadcast_if_few(_by_key(notifications).select(*KEYS).distinct(), BROADCAST_ROWS)
+    names = _by_key(notifications).select(*KEYS).distinct()
     return _by_key(contents).join(names, KEYS, "left_semi").drop("_bucket")

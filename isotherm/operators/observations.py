@@ -23,6 +23,8 @@ from isotherm.operators.xml_records import DEFAULT_RECORD_TAG, xml_parser
 UNSUPPORTED = "Unsupported file format: "
 BAD_NUMBER = 'For input string: "'
 METADATA = ("bucket_url", "object_name", "event_time", "event_source")
+#: Kept with a file's outcome where the input has it: why the object could not be read.
+READ_ERROR = "read_error"
 # --------------------------------------------------------------------------
 
 
@@ -63,7 +65,7 @@ def parse_files(files: DataFrame, parsers: Sequence[Parser] | None = None) -> Da
     """
     parsers = default_parsers() if parsers is None else list(parsers)
     files = with_format(with_text(files))
-    metadata = [name for name in METADATA if name in files.columns]
+    metadata = [name for name in (*METADATA, READ_ERROR) if name in files.columns]
 
     # Per file: the units as each format's parser sees them.
     opened = files.select("file_id", F.struct("format", *metadata).alias("meta"), "format", "text", "content")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isotherm.operators.observations import METADATA
+from isotherm.operators.observations import METADATA, READ_ERROR
 from isotherm.operators.summarize import extreme_columns
 from isotherm.schemas import SUMMARY_COLUMNS
 
@@ -37,7 +37,7 @@ def file_outcomes(readings: DataFrame) -> DataFrame:
         F.max("meta").alias("meta"),
     )
     failed = F.col("error_message").isNotNull()
-    present = [f.name for f in readings.schema["meta"].dataType.fields if f.name in METADATA]
+    present = [f.name for f in readings.schema["meta"].dataType.fields if f.name in (*METADATA, READ_ERROR)]
     records = F.when(failed, F.array()).otherwise(F.col("all_records"))
     return by_file.select(
         "file_id",
@@ -66,12 +66,13 @@ def _split_by_date(readings: DataFrame) -> DataFrame:
 def split_file_rows(readings: DataFrame) -> DataFrame:
     """Summary rows of files read by ``scan_delimited``, without failed files.
 
-    Nothing is collected per file: a file may have any number of dates.
+    Nothing is collected per file: a file may have any number of dates. Whether
+    it failed is decided over its rows per date, without a second read.
     """
-    by_date = _split_by_date(readings)
-    failed = by_date.where("first_error IS NOT NULL").select("file_id").distinct()
-    rows = by_date.where("date IS NOT NULL AND max_temp IS NOT NULL")
-    return rows.join(failed, "file_id", "left_anti").select("file_id", *SUMMARY_COLUMNS)
+    failed = F.max(F.col("first_error").isNotNull()).over(Window.partitionBy("file_id"))
+    by_date = _split_by_date(readings).withColumn("failed", failed)
+    rows = by_date.where("date IS NOT NULL AND max_temp IS NOT NULL AND NOT failed")
+    return rows.select("file_id", *SUMMARY_COLUMNS)
 
 
 def split_file_outcomes(readings: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -16,14 +15,19 @@ FILES_PER_ARROW_BATCH = 512
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the session options the operators count on.
+    """Set the session options that queries on the results count on: times are shown in UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return for_parsers(spark)
+
+
+def for_parsers(spark: SparkSession) -> SparkSession:
+    """Set the session options the parsers need; every public job does so itself.
 
-    A repeated JSON key takes its last value, and times are shown in UTC. A row
-    here is a whole file, so Arrow batches hold few of them: Spark queues as
-    many rows beside its Python workers.
+    A repeated JSON key takes its last value. A row here is a whole file, so
+    Arrow batches hold few of them: Spark queues as many rows beside its Python
+    workers.
     """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     if int(spark.conf.get(ARROW_ROWS)) > FILES_PER_ARROW_BATCH:
         spark.conf.set(ARROW_ROWS, str(FILES_PER_ARROW_BATCH))
     return spark
@@ -61,15 +65,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
-
-def is_few(df: DataFrame, most_rows: int) -> bool:
-    """Whether there are at most so many rows; counts no further than that."""
-    return df.limit(most_rows + 1).count() <= most_rows
-
-
-def broadcast_if_few(df: DataFrame, most_rows: int) -> DataFrame:
-    """Ask for a broadcast if the rows are few; else leave the join to Spark.
-
-    For rows whose width is bounded too.
-    """
-    return F.broadcast(df) if is_few(df, most_rows) else df

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.functions.location import bucket_name
+from isotherm.session import cut_lineage
 
 # --- fixed values ---------------------------------------------------------
 ATTEMPTS = 3
@@ -21,6 +22,7 @@ NOT_FOUND = "not found"
 # --------------------------------------------------------------------------
 
 BATCH_BYTES = 64 << 20
+OBJECTS_PER_TASK = 1000
 
 # Executors get the functions by value; they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -45,13 +47,17 @@ def retry(
             sleep(waits[attempt])
 
 
-def _read_bytes(store, path: str) -> bytes:
+def _read_bytes(store, root: str, name: str) -> bytes:
+    """The bytes of an object below ``root``; a name that leads out of it names nothing."""
+    if ".." in name.split("/"):
+        raise FileNotFoundError(name)
+    path = f"{root.rstrip('/')}/{name}"
     with store.open_input_stream(path) as stream:
         return stream.read()
 
 
 def fetch_objects(
-    names: DataFrame, location: str = "s3://{bucket}", partitions: int | None = None
+    names: DataFrame, location: str = "s3://{bucket}", objects_per_task: int = OBJECTS_PER_TASK
 ) -> DataFrame:
     """Open each named object once and return its bytes.
 
@@ -59,14 +65,16 @@ def fetch_objects(
     ``names`` has ``bucket_url, object_name``; repeats are removed. The work
     grows with the objects named, not with the size of the store. An object
     that does not exist is not retried; any other error is, twice. The result
-    has ``bucket_url, object_name, content, read_error``: an object that could
-    not be read has no content but an error, so that it can be reported.
+    has ``bucket_url, object_name, content, read_error``: an object that the
+    store refused has no content but an error, so that it can be reported.
+    Errors that are not the store's fail the job.
     """
     keys = ["bucket_url", "object_name"]
-    wanted = names.select(*keys).distinct()
-    # The names are few bytes, the objects many: a given number of tasks keeps
-    # adaptive execution from fetching them all in one.
-    tasks = partitions or int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = cut_lineage(names.select(*keys).distinct())
+    # The names are few bytes, the objects many: a number of tasks by the names
+    # keeps adaptive execution from fetching them all in one.
+    least = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, -(-wanted.count() // objects_per_task))
     target = wanted.repartition(tasks, *keys).withColumn("bucket", bucket_name(F.col("bucket_url")))
     schema = pa.schema(
         [
@@ -87,10 +95,9 @@ def fetch_objects(
                 if bucket not in roots:
                     roots[bucket] = fs.FileSystem.from_uri(location.format(bucket=bucket))
                 store, root = roots[bucket]
-                path = f"{root.rstrip('/')}/{row['object_name']}"
                 content, error = None, None
                 try:
-                    content = retry(partial(_read_bytes, store, path), final=(FileNotFoundError,))
+                    content = retry(partial(_read_bytes, store, root, row["object_name"]), final=(FileNotFoundError,))
                 except FileNotFoundError:
                     error = NOT_FOUND
                 except OSError as failure:

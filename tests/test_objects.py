@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import isotherm.sources.objects as objects
-from isotherm import ingest_notifications, missing_objects, read_objects
+from isotherm import ingest_notifications, missing_objects, notification_misses, notification_outcomes, read_objects
 from isotherm.operators.lookup import notified_objects
 from isotherm.sources.files import read_object_files
 from tests.test_notifications import envelope
@@ -33,14 +33,6 @@ def test_lookup(notifications, contents):
     assert sorted(r.object_name for r in notified_objects(notifications, contents).collect()) == ["a.csv", "a.csv"]
 
 
-def test_lookup_of_many(notifications, contents, monkeypatch):
-    import isotherm.operators.lookup as lookup
-
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
-    assert sorted(r.i for r in read_objects(notifications, contents).collect()) == [1, 2, 4]
-    assert notified_objects(notifications, contents).count() == 2
-
-
 def test_repeated_notifications_repeat_outcomes(spark, contents):
     texts = [envelope(key="a.csv", time="t1"), envelope(key="a.csv", time="t1"), envelope(key="a.csv", time="t2"),
              envelope(key="gone.csv"), "junk", envelope(key="b.csv"), envelope(bucket="other", key="a.csv")]
@@ -66,6 +58,8 @@ def test_fetch(spark, tmp):
         ("a b.csv", "CSV", "SUCCESS"), ("a b.csv", "CSV", "SUCCESS"), ("sub/é.dat", "JSON", "SUCCESS"),
     ]
     names = spark.createDataFrame([("s3://in", "a b.csv"), ("s3://in", "none.csv")], "bucket_url string, object_name string")
+    missed = notification_misses(notification_outcomes(messages, location=f"file://{tmp}/{{bucket}}")).collect()
+    assert [(r.object_name, r.read_error) for r in missed] == [("none.csv", objects.NOT_FOUND)]
     fetched = {r.object_name: r for r in objects.fetch_objects(names, f"file://{tmp}/{{bucket}}").collect()}
     assert fetched["a b.csv"].read_error is None and bytes(fetched["a b.csv"].content).endswith(b"5\n")
     assert fetched["none.csv"].content is None and fetched["none.csv"].read_error == objects.NOT_FOUND
@@ -93,3 +87,47 @@ def test_object_files(spark, tmp):
     names = read_object_files(spark, tmp, "s3://in").select("object_name")
     assert "content" not in names._jdf.queryExecution().executedPlan().toString()
     assert names.select(F.count("*")).first()[0] == 1
+
+
+def test_names_that_lead_out_of_the_store(spark, tmp):
+    os.makedirs(f"{tmp}/in")
+    with open(f"{tmp}/secret.csv", "w") as out:
+        out.write("x")
+    names = spark.createDataFrame([("s3://in", "../secret.csv"), ("s3://in", "a/../../secret.csv")], "bucket_url string, object_name string")
+    assert {r.read_error for r in objects.fetch_objects(names, f"file://{tmp}/{{bucket}}").collect()} == {objects.NOT_FOUND}
+
+
+def test_refused_objects_are_reported(spark, tmp):
+    os.makedirs(f"{tmp}/in/folder.csv")
+    messages = spark.createDataFrame([(envelope(key="folder.csv"),)], "value string")
+    found = notification_outcomes(messages, location=f"file://{tmp}/{{bucket}}")
+    (row,) = notification_misses(found).collect()
+    assert row.object_name == "folder.csv" and row.read_error != objects.NOT_FOUND
+
+
+def test_one_object_named_by_most_messages(spark, contents):
+    """The join of outcomes to notifications is split, and the messages are parsed once."""
+    texts = [envelope(key="a.csv" if i % 10 else "b.csv", time=f"t{i}") for i in range(4000)]
+    messages = spark.createDataFrame([(t,) for t in texts], "value string").repartition(8)
+    kept = {k: spark.conf.get(k, None) for k in SKEW}
+    try:
+        for key, value in SKEW.items():
+            spark.conf.set(key, value)
+        got = notification_outcomes(messages, contents).where("status = 'SUCCESS'")
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in kept.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert len(rows) == 4000
+    assert "SortMergeJoin(skew=true)" in plan
+    assert "from_json" not in plan and "parse_json" not in plan
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+}
