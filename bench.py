@@ -38,6 +38,8 @@ HEADLINE = [
     "append_table",
     "dedupe_table",
     "latest_rows",
+    "delimited_scan",
+    "delimited_scan_outcomes",
 ]
 
 

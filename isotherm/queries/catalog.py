@@ -16,13 +16,19 @@ from isotherm.operators.outcomes import split_file_outcomes, split_file_rows, su
 from isotherm.operators.payloads import number_payloads, payload_files
 from isotherm.operators.summarize import daily_extremes
 from isotherm.plans.adhoc import run_sql
-from isotherm.plans.ingest import ingest_files, ingest_notifications, ingest_payloads
+from isotherm.plans.ingest import (
+    ingest_files,
+    ingest_notifications,
+    ingest_payloads,
+    notification_misses,
+    notification_outcomes,
+)
 from isotherm.queries import tables as t
 from isotherm.schemas import SUMMARY_COLUMNS
 from isotherm.session import scratch_path
 from isotherm.sinks.table import APPEND, CREATE_AND_DEDUPE, create_table, write_outcomes
 from isotherm.sources.files import read_object_files, scan_delimited
-from isotherm.streaming.jobs import TRIM_HORIZON, stream_notifications, stream_payloads
+from isotherm.streaming.jobs import TRIM_HORIZON, stream_files, stream_notifications, stream_payloads
 
 OUTCOME_COLUMNS = ["status", "records_processed", "records_written"]
 
@@ -129,6 +135,24 @@ def props_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_files(files).select(F.col("file_id").alias("event_id"), "format", *OUTCOME_COLUMNS)
 
 
+def _shapes(spark: SparkSession, sf_dir: str, text: str, extension: str) -> DataFrame:
+    """Outcomes of a file per event; each row, or the lack of any, beside its file."""
+    outcomes = ingest_files(t.event_files(t.observations(spark, sf_dir), text, extension))
+    return outcomes.select("object_name", "format", "status", F.expr("inline_outer(records)"))
+
+
+def json_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shapes(spark, sf_dir, t.JSON_SHAPES, ".json")
+
+
+def xml_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shapes(spark, sf_dir, t.XML_SHAPES, ".xml")
+
+
+def csv_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shapes(spark, sf_dir, t.CSV_SHAPES, ".csv")
+
+
 # --- notifications ----------------------------------------------------------
 
 
@@ -145,6 +169,12 @@ def dead_letter_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead_letter_counts(t.order_messages(spark, sf_dir))
 
 
+def dead_letter_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text that goes to the log, for messages of several lines."""
+    messages = t.table(spark, sf_dir, "orders").selectExpr("o_orderkey", "concat('order\\r\\n', o_orderkey, '\\n') AS value")
+    return dead_letters(messages)
+
+
 def route_events_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route_events(t.order_messages(spark, sf_dir), "drops-o").select("o_orderkey")
 
@@ -223,6 +253,13 @@ def dedupe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def outcomes_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of which some have failed and write nothing."""
+    name = _new_table(spark)
+    write_outcomes(ingest_files(t.flawed_csv_files(t.observations(spark, sf_dir))), name, APPEND)
+    return spark.table(name)
+
+
 def existing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return append_table(spark, sf_dir).select("date")
 
@@ -262,8 +299,8 @@ def delimited_scan_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.select(_drop_name("file_id").alias("file_name"), *OUTCOME_COLUMNS)
 
 
-def fetch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Notifications of stored files, which the tasks open by name."""
+def _fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of notifications of stored files, which the tasks open by name, and of as many that are not there."""
     root = _write_csv_files(spark, sf_dir)
     stored = read_object_files(spark, root, t.BUCKET, pathGlobFilter="part-*").select("object_name")
     messages = stored.selectExpr(
@@ -272,11 +309,20 @@ def fetch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     store = root if "://" in root else f"file://{root}"
     named = messages.unionByName(messages.selectExpr("replace(value, 'part-', 'gone-') AS value"))
+    return notification_outcomes(named, location=store)
+
+
+def fetch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Text files have no telling name here, so that their content decides.
-    outcomes = ingest_notifications(named, location=store)
+    outcomes = _fetch(spark, sf_dir).where("read_error IS NULL")
     return summary_rows(outcomes, "object_name").select(_drop_name("object_name").alias("file_name"), *SUMMARY_COLUMNS)
 
 
+def fetch_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    misses = notification_misses(_fetch(spark, sf_dir))
+    return misses.select(_drop_name("object_name").alias("file_name"), "event_source", "read_error")
+
+
 def stream_payload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, name = _write_csv_files(spark, sf_dir), _new_table(spark)
     query = stream_payloads(
@@ -286,6 +332,22 @@ def stream_payload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def stream_payload_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In the default mode; which file came first is the file system's matter, so dates alone are compared."""
+    root, name = _write_csv_files(spark, sf_dir), _new_table(spark)
+    stream_payloads(spark, root, name, scratch_path(spark, "stream"), "weather", available_now=True).awaitTermination()
+    return spark.table(name).select("date")
+
+
+def stream_file_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, name = _write_csv_files(spark, sf_dir), _new_table(spark)
+    query = stream_files(
+        spark, root, t.BUCKET, name, scratch_path(spark, "stream"), mode=APPEND, available_now=True, pathGlobFilter="part-*"
+    )
+    query.awaitTermination()
+    return spark.table(name)
+
+
 def stream_notification_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = t.csv_files(t.observations(spark, sf_dir))
     messages = scratch_path(spark, "messages")
@@ -323,9 +385,13 @@ QUERIES = {
     "document_outcomes": document_outcomes,
     "page_outcomes": page_outcomes,
     "props_outcomes": props_outcomes,
+    "json_shapes": json_shapes,
+    "xml_shapes": xml_shapes,
+    "csv_shapes": csv_shapes,
     "parse_notifications": parse_notifications_all,
     "dead_letters": dead_letters_all,
     "dead_letter_counts": dead_letter_counts_all,
+    "dead_letter_messages": dead_letter_messages,
     "route_events": route_events_all,
     "read_objects": read_objects_all,
     "missing_objects": missing_objects_all,
@@ -334,12 +400,16 @@ QUERIES = {
     "payload_ingest": payload_ingest,
     "append_table": append_table,
     "dedupe_table": dedupe_table,
+    "outcomes_table": outcomes_table,
     "existing_dates": existing_dates,
     "latest_rows": latest_rows,
     "rows_by_date": rows_by_date,
     "delimited_scan": delimited_scan,
     "delimited_scan_outcomes": delimited_scan_outcomes,
     "fetch_ingest": fetch_ingest,
+    "fetch_misses": fetch_misses,
+    "stream_files": stream_file_arrivals,
+    "stream_payload_dates": stream_payload_dates,
     "stream_payloads": stream_payload_files,
     "stream_notifications": stream_notification_messages,
 }

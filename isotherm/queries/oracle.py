@@ -79,6 +79,29 @@ NO_ROWS = "'FAILURE' AS status, CAST(0 AS BIGINT) AS records_processed, CAST(0 A
 
 REASON = "CASE o_orderkey % 9 WHEN 0 THEN 'not_json' WHEN 1 THEN 'missing_field' WHEN 2 THEN 'bad_escape' WHEN 3 THEN 'missing_field' END"
 
+EVENT_NAME = "'user-' || user_id || '/event-' || pos"
+
+
+def _shapes(extension: str, file_format: str, failed: str, empty: str, date: str, t: str, city: str) -> str:
+    """One row per event: its file's outcome with at most one summary row; city by the extremes it stands for."""
+    kept = f"NOT ({failed}) AND NOT ({empty})"
+    return f"""
+        WITH {OBS}
+        SELECT {EVENT_NAME} || '{extension}' AS object_name, '{file_format}' AS format,
+               CASE WHEN {failed} THEN 'FAILURE' ELSE 'SUCCESS' END AS status,
+               CASE WHEN {kept} THEN {date} END AS date,
+               CAST(CASE WHEN {kept} THEN {t} END AS INTEGER) AS max_temp, CASE WHEN {kept} THEN {city} END AS max_temp_city,
+               CAST(CASE WHEN {kept} THEN {t} END AS INTEGER) AS min_temp,
+               CASE WHEN {kept} THEN CASE WHEN {t} = 2147483647 THEN '' ELSE {city} END END AS min_temp_city
+        FROM obs"""
+
+
+JUDGED = """
+        judged AS (
+          SELECT *, CASE WHEN user_id % 11 = 0 THEN 'Missing required column: city'
+                         WHEN user_id % 7 = 0 AND t > 20 THEN 'For input string: "' || t || '.5"' END AS error
+          FROM obs)"""
+
 ORACLE = {
     "daily_extremes": f"WITH {OBS} SELECT date, {EXTREMES} FROM obs GROUP BY date",
     "daily_extremes_per_file": f"WITH {OBS} SELECT user_id, date, {EXTREMES} FROM obs GROUP BY user_id, date",
@@ -86,10 +109,8 @@ ORACLE = {
     "tsv_ingest": _file_rows(".TAB"),
     "json_ingest": f"""
         WITH {OBS},
-        kept AS (
-          SELECT * FROM obs
-          QUALIFY user_id % 3 < 2 OR row_number() OVER (PARTITION BY user_id, part ORDER BY pos) = 1)
-        SELECT {_name('.json')} AS object_name, date, {EXTREMES} FROM kept GROUP BY user_id, part, date""",
+        named AS (SELECT *, CASE WHEN user_id % 3 < 2 THEN {_name('.json')} ELSE {EVENT_NAME} || '.json' END AS object_name FROM obs)
+        SELECT object_name, date, {EXTREMES} FROM named GROUP BY object_name, date""",
     "xml_ingest": _file_rows(".xml"),
     "xml_ingest_other_tag": _file_rows(".xml"),
     "mixed_ingest": f"""
@@ -128,6 +149,17 @@ ORACLE = {
     "document_outcomes": DOCUMENTS,
     "page_outcomes": f"SELECT page_id, 'XML' AS format, {NO_ROWS} FROM pages",
     "props_outcomes": f"SELECT event_id, 'JSON' AS format, {NO_ROWS} FROM events",
+    "json_shapes": _shapes(
+        ".json", "JSON", "pos % 8 IN (5, 6)", "false", "CASE pos % 8 WHEN 7 THEN replace(date, '-', '') ELSE date END",
+        "CASE WHEN pos % 8 IN (2, 3, 4) THEN 0 ELSE t END",
+        "CASE pos % 8 WHEN 2 THEN '' WHEN 7 THEN CAST(user_id AS VARCHAR) ELSE city END",
+    ),
+    "xml_shapes": _shapes(
+        ".xml", "XML", "pos % 7 IN (2, 3, 6)", "pos % 7 = 0", "date", "t", "CASE pos % 7 WHEN 5 THEN '<&>' ELSE city END"
+    ),
+    "csv_shapes": _shapes(
+        ".csv", "CSV", "pos % 7 IN (4, 5)", "pos % 7 = 0", "date", "CASE pos % 7 WHEN 6 THEN 2147483647 ELSE t END", "city"
+    ),
     "parse_notifications": f"""
         SELECT o_orderkey, 's3://drops-' || lower(o_orderstatus) AS bucket_url,
                'in box/' || o_orderpriority || '/' || o_orderkey || '.csv' AS object_name,
@@ -138,6 +170,8 @@ ORACLE = {
     "dead_letters": f"SELECT o_orderkey, {REASON} AS dead_reason FROM orders WHERE {REASON} IS NOT NULL",
     "dead_letter_counts": f"""
         SELECT {REASON} AS dead_reason, count(*) AS messages FROM orders WHERE {REASON} IS NOT NULL GROUP BY 1""",
+    "dead_letter_messages": """
+        SELECT o_orderkey, 'order\\r\\n' || o_orderkey || '\\n' AS message, 'not_json' AS dead_reason FROM orders""",
     "route_events": "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 9 NOT IN (0, 3, 5, 7)",
     "read_objects": f"""
         SELECT o_orderkey, 'doc-' || o_custkey * 3 AS object_name, CAST(length(text) AS INTEGER) AS chars, {_format('text')} AS format
@@ -170,6 +204,10 @@ ORACLE = {
         WITH {FILE_ROWS}
         SELECT {COLUMNS} FROM file_rows
         QUALIFY row_number() OVER (PARTITION BY date ORDER BY user_id % 2, {_name('.csv')}) = 1""",
+    "outcomes_table": f"""
+        WITH {FILE_ROWS}, {JUDGED},
+        failed AS (SELECT DISTINCT user_id, part FROM judged WHERE error IS NOT NULL)
+        SELECT {COLUMNS} FROM file_rows ANTI JOIN failed USING (user_id, part)""",
     "existing_dates": f"WITH {FILE_ROWS} SELECT date FROM file_rows",
     "latest_rows": f"""
         WITH {OBS} SELECT user_id, date, {EXTREMES} FROM obs GROUP BY user_id, date ORDER BY date, user_id LIMIT 20""",
@@ -180,6 +218,12 @@ ORACLE = {
         SELECT {DROP_NAME} AS file_name, 'SUCCESS' AS status, count(*) AS records_processed, count(*) AS records_written
         FROM file_rows GROUP BY user_id, part""",
     "fetch_ingest": f"WITH {FILE_ROWS} SELECT {DROP_NAME} AS file_name, {COLUMNS} FROM file_rows",
+    "fetch_misses": f"""
+        WITH {FILE_ROWS}
+        SELECT DISTINCT replace({DROP_NAME}, 'part-', 'gone-') AS file_name, 'aws.s3' AS event_source, 'not found' AS read_error
+        FROM file_rows""",
+    "stream_files": TABLE_ROWS,
     "stream_payloads": TABLE_ROWS,
+    "stream_payload_dates": f"WITH {OBS} SELECT DISTINCT date FROM obs",
     "stream_notifications": TABLE_ROWS,
 }

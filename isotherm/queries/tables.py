@@ -56,7 +56,7 @@ JSON_TEXT = """
 CASE user_id % 3
 WHEN 0 THEN concat('[', array_join(records, ','), ']')
 WHEN 1 THEN concat('{"source":"x","records":[', array_join(records, ', '), ']}')
-ELSE records[0] END
+END
 """
 XML_RECORD = (
     "concat('<{tag}><Date>', date, '</Date><City>', city, "
@@ -74,7 +74,50 @@ def tsv_files(rows: DataFrame) -> DataFrame:
 
 
 def json_files(rows: DataFrame) -> DataFrame:
-    return _named(by_file(rows, JSON_RECORD), JSON_TEXT, "'.json'")
+    """An array or an object with records per file; for every third user an object, and so a file, per event."""
+    single = event_files(rows.where("user_id % 3 = 2"), JSON_RECORD, ".json")
+    return _named(by_file(rows.where("user_id % 3 < 2"), JSON_RECORD), JSON_TEXT, "'.json'").unionByName(single)
+
+
+def event_files(rows: DataFrame, text: str, extension: str) -> DataFrame:
+    """A file per event, with ``event_id``-ordered names."""
+    named = rows.select("user_id", F.expr(f"concat('user-', user_id, '/event-', pos, '{extension}')").alias("object_name"), F.expr(text).alias("text"))
+    return named.withColumns({"file_id": F.col("object_name"), "bucket_url": F.lit(BUCKET)})
+
+
+# One flaw or peculiarity per file, by the event's number.
+JSON_SHAPES = """
+CASE pos % 8
+WHEN 0 THEN to_json(named_struct('date', date, 'city', city, 'temperature', concat(' ', temperature)))
+WHEN 1 THEN concat('{"temperature":', temperature, '.7,"city":"', city, '","date":"', date, '","more":[{}]}')
+WHEN 2 THEN to_json(named_struct('date', date, 'city', ''))
+WHEN 3 THEN concat('[{"date":"', date, '","city":"', city, '","temperature":null}]')
+WHEN 4 THEN concat('{"records":[{"date":"', date, '","city":"', city, '","temperature":""}]} tail')
+WHEN 5 THEN concat('{"date":"', date, '","city":"', city, '","temperature":', pos % 16 = 5, '}')
+WHEN 6 THEN concat('[{"date":"', date, '","city":"', city, '","temperature":', temperature, '},null]')
+ELSE concat('{"date":', replace(date, '-', ''), ',"city":', user_id, ',"temperature":', temperature, '}') END
+"""
+XML_FIELDS = "concat('<date>', date, '</date><CITY>', city, '</CITY><Temperature>', temperature, '</Temperature>')"
+XML_SHAPES = f"""
+CASE pos % 7
+WHEN 0 THEN '<W/>'
+WHEN 1 THEN concat('<W>', {XML_FIELDS}, '</W>')
+WHEN 2 THEN concat('<W><Row>', {XML_FIELDS}, '</Row><Row/></W>')
+WHEN 3 THEN concat('<!DOCTYPE W><W><Row>', {XML_FIELDS}, '</Row></W>')
+WHEN 4 THEN concat('<W><Row><Date>x</Date>', {XML_FIELDS}, '</Row></W>')
+WHEN 5 THEN concat('<W><Row a="1">', {XML_FIELDS}, '<City><![CDATA[<&>]]></City></Row></W>')
+ELSE concat('<W><Row><Date>', date, '</Date><Temperature>1</Temperature></Row></W>') END
+"""
+CSV_SHAPES = """
+CASE pos % 7
+WHEN 0 THEN 'date,city,temperature\n'
+WHEN 1 THEN concat('date,city,temperature\r', date, ',', city, ',', temperature, '\r')
+WHEN 2 THEN concat(' \n\nTEMPERATURE, City ,x,Date\r\n', temperature, ',', city, ',,', date, '\r\n')
+WHEN 3 THEN concat('date,date,city,temperature\nx,', date, ',', city, ', ', temperature, ' \n')
+WHEN 4 THEN concat('date,city,temperature\n', date, ',', city, ',', temperature, '.0\n')
+WHEN 5 THEN concat('date,city,temperature\n', date, ', ,', temperature, '\n')
+ELSE concat('date,city,temperature\n', date, ',', city, ',2147483647\n', date, ',z,2147483647\n') END
+"""
 
 
 def xml_files(rows: DataFrame, tag: str = "Observation") -> DataFrame:

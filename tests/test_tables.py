@@ -16,7 +16,7 @@ def new_name():
 
 
 def day(i):
-    return (f"2024-07-0{i + 1}", 100 + i, f"MaxCity{i}", 70 + i, f"MinCity{i}")
+    return (f"1999-1{i}-30", 3 * i + 9, "Lima" * (i + 1), -5 * i, f"{i} Oslo")
 
 
 def outcome_frame(spark, *states):
