@@ -8,10 +8,14 @@ estimated from its signatures (equal groups by bit counts, corrected for equal
 bits by chance) is more than six standard deviations below the limit; all others
 are confirmed on their full sets.
 
-Only components are wanted, so a bucket is not expanded into its pairs: its
-members are compared with one hub, and later only members of components that are
-still apart, with one hub for each component. What is apart after three such
-rounds is compared pair by pair; so no link is lost.
+Only components are wanted, so a bucket is not expanded into its pairs. Its
+members are compared with one hub a round, the member that shares the most
+buckets with others first, as an original does among its copies; then with the
+next, as long as the bucket holds more than one component. Buckets that still do
+after four rounds, and have pairs without a hub, are compared whole, in blocks:
+a task counts all intersections of two blocks as products of matrices and gives
+only the links that tie components together. So no link is lost, and what is
+handed on grows with the members, not with their pairs.
 
 A pair at the limit of 0.8 shares no bucket with probability 5e-8, and less above.
 
@@ -40,7 +44,9 @@ MINIMA = BANDS * PER_BAND
 WORDS = MINIMA * BITS // 64
 #: Lowest bit of each group of BITS bits in a word of a signature.
 GROUP_LOW = sum(1 << i for i in range(0, 64, BITS))
-HUB_ROUNDS = 3
+HUB_ROUNDS = 4
+#: Members of a block, and shingles that are multiplied at once.
+BLOCK, COLUMNS = 512, 2048
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -173,15 +179,70 @@ def confirm(words: int, similarity: int):
     return task
 
 
-def _pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Candidate pairs ``a < b`` of one round; ``members`` has ``bucket, node, label``."""
-    if turn == 0:
-        hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.min_by("label", "node").alias("hub_label"))
-    elif turn < HUB_ROUNDS:
-        pick = F.struct(F.xxhash64("node", F.lit(turn)), "node")
-        hubs = members.groupBy("bucket", F.col("label").alias("hub_label")).agg(F.min(pick)["node"].alias("hub"))
-    else:
-        hubs = members.select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"))
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections; shingles of one set alone are left out first."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    owner, column = owner[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [first, first + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[owner[a:b], column[a:b] - first] = 1
+        total += part @ part.T
+    return total.astype(np.int64)
+
+
+def tie(linked: np.ndarray, labels: list) -> list[tuple[int, int]]:
+    """Links that connect what ``linked`` connects beyond equal labels: fewer than there are members."""
+    first, seen, out = {}, np.zeros(len(labels), bool), []
+    for i, label in enumerate(labels):
+        first.setdefault(label, i)
+    same = np.array([first[label] for label in labels])
+    for start in range(len(labels)):
+        if seen[start]:
+            continue
+        todo = [start]
+        seen[start] = True
+        while todo:
+            i = todo.pop()
+            for j in np.flatnonzero((linked[i] | (same == same[i])) & ~seen):
+                seen[j] = True
+                todo.append(int(j))
+                if same[i] != same[j]:
+                    out.append((i, int(j)))
+    return out
+
+
+def confirm_blocks(words: int, similarity: int):
+    """Function over the members of two blocks of a bucket: the links that tie their components together."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def group(members: pa.Table) -> pa.Table:
+        shingler, nodes = Shingler(words), members["node"].to_pylist()
+        sets = [shingler.shingles(text) for text in members["text"].to_pylist()]
+        both, sizes = intersections(sets), np.array([len(x) for x in sets])
+        linked = 100 * both >= similarity * (sizes[:, None] + sizes[None] - both)
+        found = tie(linked, members["label"].to_pylist())
+        return pa.table([[nodes[i] for i, _ in found], [nodes[j] for _, j in found]], schema=schema)
+
+    return group
+
+
+def _hubs(members: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """``bucket, hub, hub_label``: of each bucket the member with the most company that was not its hub yet."""
+    fresh = members if tried is None else members.join(tried.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
+    best = F.max(F.struct("company", "node", "label")).alias("best")
+    return fresh.groupBy("bucket").agg(best).select("bucket", F.col("best.node").alias("hub"), F.col("best.label").alias("hub_label"))
+
+
+def _pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Candidate pairs ``a < b`` of members and their bucket's hub, where they are apart."""
     apart = members.join(hubs, "bucket").where("label <> hub_label")
     return apart.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
@@ -194,6 +255,18 @@ def _labelled(members: DataFrame, stars: DataFrame) -> DataFrame:
     return found.join(mixed_up.select("bucket"), "bucket", "left_semi")
 
 
+def _in_blocks(members: DataFrame, bodies: DataFrame, words: int, similarity: int) -> DataFrame:
+    """Links within buckets that hold pairs without a hub; each member goes to its block's pairs of blocks."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > HUB_ROUNDS + 1)
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node", "bucket"), blocks).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    dealt = own.select("bucket", "node", "label", "own", other)
+    dealt = dealt.select("bucket", "node", "label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    full = dealt.join(bodies.select("node", "text"), "node")
+    return full.groupBy("bucket", "low", "high").applyInArrow(confirm_blocks(words, similarity), "a binary, b binary")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept, text_hash``.
 
@@ -210,6 +283,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
     counted = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     members = banded.join(counted.select("bucket"), "bucket", "left_semi").distinct()
     members = stored(members.withColumn("label", F.col("node")), "members")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    company = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("company"))
+    members = stored(members.join(company, "node"), "members")
 
     # One document stands for each node that has a candidate.
     asked = members.select("node").distinct()
@@ -217,13 +293,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
     stand_in = sets.join(asked, "node", "left_semi").groupBy("node").agg(F.min(place).alias("place")).select("node", "place.*")
     bodies = stored(rows.join(stand_in, ["doc_id", "tag"]).select("node", "text", "signature").dropDuplicates(["node"]), "bodies")
 
-    stars = None
+    stars, tried = None, None
     for turn in range(HUB_ROUNDS + 1):
         if stars is not None:
             members = stored(_labelled(members, stars), "members")
         if members.isEmpty():
             break
-        links = _links(_pairs(members, turn), bodies, words, similarity)
+        if turn < HUB_ROUNDS:
+            hubs = stored(_hubs(members, tried), "hubs")
+            tried = hubs if tried is None else tried.unionByName(hubs)
+            links = _links(_pairs(members, hubs), bodies, words, similarity)
+        else:
+            links = _in_blocks(members, bodies, words, similarity)
         stars = connected(links if stars is None else stars.unionByName(links))
 
     by_node = sets.select("node", "doc_id").withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))

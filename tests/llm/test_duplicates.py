@@ -64,11 +64,32 @@ def test_near_duplicates(spark, words, clash):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {i: (len(sets[i]), label[i], label[i] == i) for i in sets}
 
 
-def test_a_large_group_of_near_copies_makes_few_pairs(spark):
+def test_intersections_and_ties():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 6000, rng.integers(1, 4000)).astype(np.uint64)) for _ in range(12)]
+    got = near_dedup.intersections(sets)
+    assert all(got[i, j] == len(np.intersect1d(a, b)) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j)
+    linked = np.zeros((6, 6), bool)
+    for i, j in ((0, 1), (1, 2), (0, 2), (3, 4)):
+        linked[i, j] = linked[j, i] = True
+    assert sorted(map(sorted, near_dedup.tie(linked, list("abcdef")))) in ([[0, 1], [0, 2], [3, 4]], [[0, 1], [1, 2], [3, 4]], [[0, 2], [1, 2], [3, 4]])
+    assert len(near_dedup.tie(linked, list("aabdde"))) == 1
+
+
+@pytest.mark.parametrize("original", [True, False])
+def test_a_large_group_of_near_copies(spark, monkeypatch, original):
+    """With the original all copies hang together; without it many pairs are just too different."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 50)
     rng, base = random.Random(4), " ".join(str(i) for i in range(300))
-    docs = doc_frame(spark, [changed(base, rng, 3) for _ in range(300)])
-    got = near_dedup.near_duplicates(docs, words=5).collect()
-    assert {r.component_id for r in got} == {0}
+    texts = [changed(base, rng, 5) for _ in range(200)] + [base] * original
+    sets = [shingle_set(t, 5) for t in texts]
+
+    def linked(a, b):
+        both = len(sets[a] & sets[b])
+        return 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)
+
+    got = near_dedup.near_duplicates(doc_frame(spark, texts), words=5).collect()
+    assert {r.doc_id: r.component_id for r in got} == components(range(len(texts)), linked)
 
 
 def test_near_duplicates_defined_cases(spark):
