@@ -4,9 +4,11 @@ A line is the set of its words. A line is removed if an earlier one (by id, then
 place in the text) has an equal set, or one with a Jaccard similarity of at least
 4/5. Each step covers all lines:
 
-1. Words are counted in 65536 hash cells. A word's number holds the size class
-   of its cell in front of its hash, so ordering numbers orders words by rarity.
-   The classes are 65536 bytes, whatever the vocabulary.
+1. Words are counted in 16384 hash cells, which tells the frequent words from
+   the rest. A word's number has the size class of its cell in front, then its
+   length, as among words that are not frequent the longer ones are rarer, then
+   its hash; so ordering numbers orders words by rarity. The classes are 16384
+   bytes, whatever the vocabulary; any order would be right, this one is fast.
 2. Equal sets become one node with its earliest line, combined on the map side.
 3. Two sets of n words that are similar enough share a word among their first
    n - ceil(4n/5) + 1 in that order (prefix filter). Nodes meet by these words;
@@ -29,39 +31,49 @@ from pyspark.sql import functions as F
 from isotherm.llm.frames import stored, texts, width
 from isotherm.llm.repeats import NO_ID
 
-CELLS, HASH_BITS = 1 << 16, 55
+CELLS, LENGTH_BITS, HASH_BITS = 1 << 14, 6, 50
 HUB_ROUNDS = 3
 
 
 def line_words(line: Column) -> Column:
-    """Words between spaces, tabs and carriage returns."""
-    return F.array_remove(F.split(F.translate(line, "\t\r", "  "), " "), "")
+    """Words between spaces, tabs, carriage returns and line ends; with empty ones between two of these."""
+    other = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\n"))
+    return F.split(F.when(other, F.translate(line, "\t\r\n", "   ")).otherwise(line), " ")
 
 
-def cell(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(CELLS)).cast("int")
+def cell(digest: Column) -> Column:
+    return digest.bitwiseAND(F.lit(CELLS - 1)).cast("int")
 
 
 def rarity_classes(rows: DataFrame) -> bytes:
-    """For each cell, four times the binary logarithm of its count; CELLS bytes at any size of input."""
-    words = rows.select(F.explode(line_words(F.translate("text", "\n", " "))).alias("word"))
-    counted = words.groupBy(cell(F.col("word")).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    """For each cell, twice the binary logarithm of its count; CELLS bytes at any size of input."""
+    words = rows.select(F.explode(line_words(F.col("text"))).alias("word")).where("word <> ''")
+    counted = words.groupBy(cell(F.xxhash64("word")).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     classes = bytearray(CELLS)
-    for row in counted.select("cell", F.least(F.lit(127), F.floor(4 * F.log2(F.col("n") + 1))).alias("size_class")).collect():
+    for row in counted.select("cell", F.least(F.lit(127), F.floor(2 * F.log2("n"))).alias("size_class")).collect():
         classes[row["cell"]] = row["size_class"]
-    return bytes(classes)
+    # What is not clearly above the mean of all cells is not frequent.
+    usual = int(sum(classes) / CELLS) + 2
+    return bytes(x if x > usual else 0 for x in classes)
 
 
 def word_numbers(line: Column, classes: bytes) -> Column:
     """The line's distinct words as numbers, rarest first."""
-    table = F.lit(classes)
+    table, longest = F.lit(classes), (1 << LENGTH_BITS) - 1
+
+    def both(word: Column) -> Column:
+        return F.struct(F.xxhash64(word).alias("digest"), F.octet_length(word).alias("size"))
 
     def number(word: Column) -> Column:
-        size_class = F.ascii(F.substring(table, cell(word) + 1, F.lit(1)).cast("string"))
-        low = F.xxhash64(word).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-        return F.shiftleft(size_class.cast("long"), HASH_BITS).bitwiseOR(low)
+        digest = word["digest"]
+        size_class = F.ascii(F.substring(table, cell(digest) + 1, F.lit(1)).cast("string"))
+        order = size_class * (longest + 1) + F.greatest(F.lit(0), F.lit(longest) - word["size"])
+        low = digest.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+        kept = F.shiftleft(order.cast("long"), HASH_BITS).bitwiseOR(low)
+        return F.when(word["size"] > 0, kept).otherwise(F.lit(-1))
 
-    return F.sort_array(F.array_distinct(F.transform(line_words(line), number)))
+    numbers = F.array_distinct(F.transform(F.transform(line_words(line), both), number))
+    return F.sort_array(F.array_remove(numbers, F.lit(-1).cast("long")))
 
 
 def similar(both: Column, n_a: Column, n_b: Column) -> Column:
@@ -73,16 +85,16 @@ def _by_line(rows: DataFrame) -> DataFrame:
 
 
 def _nodes(lines: DataFrame) -> DataFrame:
-    """Equal sets as one: ``node, other, first, n, prefix``; two hashes name a set."""
-    first = F.struct("doc_id", "tag", "line_no")
-    return lines.groupBy("node", "other").agg(F.min(first).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    """Equal sets as one: ``node, other, first``; two hashes name a set."""
+    return lines.groupBy("node", "other").agg(F.min(F.struct("doc_id", "tag", "line_no")).alias("first"))
 
 
-def _met(nodes: DataFrame) -> DataFrame:
+def _met(lines: DataFrame, nodes: DataFrame) -> DataFrame:
     """``word, node, place, n, first`` for the prefix words that several nodes have."""
-    entries = nodes.select("node", "n", F.posexplode("prefix").alias("place", "word")).repartition(width(nodes), "word")
+    sets = lines.groupBy("node", "other").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    entries = sets.select("node", "n", F.posexplode("prefix").alias("place", "word")).repartition(width(nodes), "word")
     shared = entries.groupBy("word").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1").select("word")
-    return entries.join(shared, "word", "left_semi").join(nodes.select("node", "first"), "node")
+    return stored(entries.join(shared, "word", "left_semi"), "met").join(nodes.select("node", "first"), "node")
 
 
 def _early() -> Column:
@@ -136,7 +148,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ).where("n > 0")
     lines = stored(lines, "lines")
     nodes = stored(_nodes(lines), "nodes")
-    members = stored(_met(nodes), "members")
+    members = stored(_met(lines, nodes), "members")
 
     # The whole sets of the nodes that met another, from their earliest lines.
     asked = members.select("node", "first.*").distinct().groupBy("doc_id", "tag").agg(F.collect_list(F.struct("line_no", "node")).alias("asked"))
