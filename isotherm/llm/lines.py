@@ -14,9 +14,12 @@ place in the text) has an equal set, or one with a Jaccard similarity of at leas
    n - ceil(4n/5) + 1 in that order (prefix filter). Nodes meet by these words;
    sizes have to fit (length filter), and the rest behind the shared word has to
    be long enough (positional filter).
-4. Who meets is verified on the whole sets. A word's nodes are compared with
-   their earliest one first, twice more with the earliest that is unresolved, and
-   only what is still unresolved then with all earlier ones.
+4. Pairs that meet by words of at most 32 nodes have to share as many words of
+   their prefixes as similarity implies (count filter). A word of more nodes is
+   not expanded into pairs: its nodes are compared with their earliest one, twice
+   more with the earliest that is unresolved, and only what is still unresolved
+   then with all earlier ones.
+5. What is left is verified on the whole sets.
 
 Defined cases: null texts are empty; a line without words is never removed;
 order of lines is by id, hash of the text, place; rows that repeat id and text
@@ -33,6 +36,8 @@ from isotherm.llm.repeats import NO_ID
 
 CELLS, LENGTH_BITS, HASH_BITS = 1 << 14, 6, 50
 HUB_ROUNDS = 3
+#: Words of at most so many nodes give pairs at once.
+FEW = 32
 
 
 def line_words(line: Column) -> Column:
@@ -89,12 +94,46 @@ def _nodes(lines: DataFrame) -> DataFrame:
     return lines.groupBy("node", "other").agg(F.min(F.struct("doc_id", "tag", "line_no")).alias("first"))
 
 
-def _met(lines: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``word, node, place, n, first`` for the prefix words that several nodes have."""
+def prefix_length(n: Column) -> Column:
+    return n - F.ceil(4 * n / F.lit(5)).cast("int") + 1
+
+
+def _entries(lines: DataFrame, partitions: int) -> DataFrame:
+    """``word, node, place, n`` for the prefix of each set; dealt by word once, for all that follows.
+
+    Copies of a line are one set by now, so a word has a row per different line.
+    """
     sets = lines.groupBy("node", "other").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    entries = sets.select("node", "n", F.posexplode("prefix").alias("place", "word")).repartition(width(nodes), "word")
-    shared = entries.groupBy("word").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1").select("word")
-    return stored(entries.join(shared, "word", "left_semi"), "met").join(nodes.select("node", "first"), "node")
+    return sets.select("node", "n", F.posexplode("prefix").alias("place", "word")).repartition(partitions, "word")
+
+
+def _with_few(entries: DataFrame) -> DataFrame:
+    """Pairs ``a < b`` that share enough of their prefixes, for words of few nodes.
+
+    With an overlap of at least ``o``, the k-th common word is among the first
+    k + n - o words of a set; so that many common words lie in both prefixes.
+    """
+    sizes = entries.groupBy("word").agg(F.count(F.lit(1)).alias("nodes"))
+    few = entries.join(sizes.where(F.col("nodes").between(2, FEW)).select("word"), "word", "left_semi")
+    other = few.select("word", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("at"))
+    n, m = F.col("n"), F.col("m")
+    met = few.join(other, "word").where((F.col("node") < F.col("b")) & _fits(n, m, F.col("place"), F.col("at")))
+    pairs = met.groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("m").alias("m"))
+    least = F.ceil(4 * (n + m) / F.lit(9)).cast("int")
+    enough = F.least(prefix_length(n) - (n - least), prefix_length(m) - (m - least))
+    return pairs.where(F.col("common") >= enough).select("a", "b")
+
+
+def _fits(n: Column, m: Column, i: Column, j: Column) -> Column:
+    """Length filter, and positional filter for a word at places i and j."""
+    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)) >= 4 * (n + m))
+
+
+def _with_many(entries: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``word, node, place, n, first`` of the words of many nodes."""
+    sizes = entries.groupBy("word").agg(F.count(F.lit(1)).alias("nodes"))
+    many = entries.join(sizes.where(F.col("nodes") > FEW).select("word"), "word", "left_semi")
+    return many.join(nodes.select("node", "first"), "node")
 
 
 def _early() -> Column:
@@ -112,17 +151,16 @@ def _hubs(open_ones: DataFrame, before: DataFrame | None) -> DataFrame:
 def _candidates(open_ones: DataFrame, hubs: DataFrame) -> DataFrame:
     """Pairs of an earlier node ``a`` and an unresolved ``b`` that pass the length and the positional filter."""
     met = open_ones.join(hubs, "word").where(F.col("hub.first") < F.col("first"))
-    n, m, i, j = F.col("n"), F.col("hub.n"), F.col("place"), F.col("hub.place")
-    fits = (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * (1 + F.least(n - i - 1, m - j - 1)) >= 4 * (n + m))
+    fits = _fits(F.col("n"), F.col("hub.n"), F.col("place"), F.col("hub.place"))
     return met.where(fits).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``node``: those ``b`` that are similar to their ``a`` on whole sets."""
+    """Those pairs that are similar on whole sets."""
     found = pairs.join(sets.withColumnsRenamed({"node": "a", "words": "words_a"}), "a")
     found = found.join(sets.withColumnsRenamed({"node": "b", "words": "words_b"}), "b")
     both = F.size(F.array_intersect("words_a", "words_b"))
-    return found.where(similar(both, F.size("words_a"), F.size("words_b"))).select(F.col("b").alias("node")).distinct()
+    return found.where(similar(both, F.size("words_a"), F.size("words_b"))).select("a", "b")
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,31 +182,42 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.xxhash64("words").alias("node"),
         F.xxhash64("words", F.lit(1)).alias("other"),
         n.alias("n"),
-        F.slice("words", 1, n - F.ceil(4 * n / F.lit(5)).cast("int") + 1).alias("prefix"),
+        F.slice("words", 1, prefix_length(n)).alias("prefix"),
     ).where("n > 0")
     lines = stored(lines, "lines")
     nodes = stored(_nodes(lines), "nodes")
-    members = stored(_met(lines, nodes), "members")
+    entries = _entries(lines, width(rows))
+    few = stored(_with_few(entries), "pairs")
+    members = stored(_with_many(entries, nodes), "members")
 
-    # The whole sets of the nodes that met another, from their earliest lines.
-    asked = members.select("node", "first.*").distinct().groupBy("doc_id", "tag").agg(F.collect_list(F.struct("line_no", "node")).alias("asked"))
+    # The whole sets of the nodes that may have a similar one, from their earliest lines.
+    wanted = few.select(F.explode(F.array("a", "b")).alias("node")).unionByName(members.select("node")).distinct()
+    asked = nodes.join(wanted, "node", "left_semi").select("node", "first.*").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("line_no", "node")).alias("asked"))
     holders = rows.join(stored(asked, "asked"), ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"])
     line = F.get(F.split("text", "\n"), F.col("one.line_no"))
     bodies = holders.select("text", F.explode("asked").alias("one")).select("one.node", word_numbers(line, classes).alias("words"))
     sets = stored(bodies, "sets")
 
-    similar_ones, open_ones, hubs = None, members, None
+    # Of two similar nodes the one whose first line comes later goes.
+    first = nodes.select("node", "first")
+    ordered = _verified(few, sets).join(first.withColumnsRenamed({"node": "a", "first": "first_a"}), "a")
+    ordered = ordered.join(first.withColumnsRenamed({"node": "b", "first": "first_b"}), "b")
+    later_one = F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a"))
+    similar_ones = stored(ordered.select(later_one.alias("node")).distinct(), "found")
+    open_ones, hubs = stored(members.join(similar_ones, "node", "left_anti"), "open"), None
     for turn in range(HUB_ROUNDS + 1):
+        if open_ones.isEmpty():
+            break
         if turn < HUB_ROUNDS:
             hubs = stored(_hubs(open_ones, hubs), "hubs")
         else:
             hubs = members.select("word", _early().alias("hub"))
-        found = stored(_verified(_candidates(open_ones, hubs), sets), "found")
-        similar_ones = found if similar_ones is None else similar_ones.unionByName(found)
+        found = stored(_verified(_candidates(open_ones, hubs), sets).select(F.col("b").alias("node")).distinct(), "found")
+        similar_ones = similar_ones.unionByName(found)
         if turn < HUB_ROUNDS:
             open_ones = stored(open_ones.join(found, "node", "left_anti"), "open")
 
-    later = nodes.select("node", "other", "first").join(similar_ones.withColumn("near", F.lit(True)), "node", "left")
+    later = nodes.select("node", "other", "first").join(similar_ones.distinct().withColumn("near", F.lit(True)), "node", "left")
     marked = lines.select("doc_id", "tag", "line_no", "node", "other").join(later, ["node", "other"])
     is_first = F.struct("doc_id", "tag", "line_no") == F.col("first")
     marked = marked.select("doc_id", "tag", "line_no", F.coalesce("near", F.lit(False)).alias("near"), is_first.alias("is_first"))

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from isotherm.llm import near_dedup, repeats
+from isotherm.llm import lines, near_dedup, repeats
 from isotherm.llm.components import connected
 from isotherm.llm.lines import line_digests, removed_lines
 from llm_fixtures import clashing, components, doc_frame, repeated_bytes, shingle_set
@@ -190,9 +190,10 @@ def lines_by_brute_force(texts):
     return gone
 
 
-@pytest.mark.parametrize("clash", [False, True])
-def test_lines(spark, clash):
-    rng = random.Random(11 + clash)
+@pytest.mark.parametrize(("clash", "few"), [(False, 32), (True, 2), (True, 5)])
+def test_lines(spark, monkeypatch, clash, few):
+    monkeypatch.setattr(lines, "FEW", few)  # words of more nodes go by hubs
+    rng = random.Random(11 + few)
     words = ["".join(rng.choices("abcd", k=rng.randint(1, 4))) for _ in range(60)]
     base = [" ".join(rng.choices(words, k=rng.randint(1, 25))) for _ in range(30)]
     texts = ["\n".join(changed(rng.choice(base), rng, rng.randint(0, 2)) for _ in range(rng.randint(0, 9))) for _ in range(30)]
@@ -201,9 +202,9 @@ def test_lines(spark, clash):
     docs = clashing(doc_frame(spark, texts)) if clash else doc_frame(spark, texts)
     assert {r.doc_id: list(r.removed) for r in removed_lines(docs).collect()} == gone
     for row in line_digests(docs).collect():
-        lines = (texts[row.doc_id] or "").split("\n")
-        kept = "\n".join(x for n, x in enumerate(lines) if n not in gone.get(row.doc_id, []))
-        assert (row.n_lines, row.n_removed) == (len(lines), len(gone.get(row.doc_id, [])))
+        parts = (texts[row.doc_id] or "").split("\n")
+        kept = "\n".join(x for n, x in enumerate(parts) if n not in gone.get(row.doc_id, []))
+        assert (row.n_lines, row.n_removed) == (len(parts), len(gone.get(row.doc_id, [])))
         assert row.kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
 
 
