@@ -16,7 +16,7 @@ from isotherm.llm import exact_dedup, language, near_dedup, packing, repeats
 from isotherm.llm.frames import stored, table
 
 #: A text goes if no language has this share of its probability, or if it has no letter.
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
