@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isotherm.llm import exact_dedup, language, near_dedup, packing, repeats
@@ -24,23 +24,32 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_known(docs, language.train(docs), LEAST_LANGUAGE_SCORE)
 
 
-def _chosen(docs: DataFrame, kept: DataFrame, digest) -> DataFrame:
-    """Rows of ``docs`` named in ``kept`` (``kept_id, kept_text``); an id alone may be shared by several texts."""
-    text = F.coalesce(docs["text"], F.lit(""))
-    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (digest(text) == kept["kept_text"])
-    return docs.join(kept, same, "left_semi")
+def _chosen(docs: DataFrame, kept: DataFrame, doc_id: Column, digest: Callable[[Column], Column]) -> DataFrame:
+    """Rows of ``docs`` named in ``kept`` (``kept_id, kept_text, alone``); an id alone may be shared by several texts.
+
+    Where not ``alone``, rows that share id and text are one: the least by its columns in their order.
+    """
+    kept, text = stored(kept, "chosen"), digest(F.coalesce(docs["text"], F.lit("")))
+
+    def rows(named: DataFrame) -> DataFrame:
+        return docs.join(named, doc_id.eqNullSafe(named["kept_id"]) & (text == named["kept_text"]), "left_semi")
+
+    several = rows(kept.where("NOT alone")).groupBy(doc_id.alias("kept_id"), text.alias("kept_text"))
+    least = several.agg(F.min(F.struct(*docs.columns)).alias("least")).select("least.*")
+    return rows(kept.where("alone")).union(least)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group of equal texts."""
+    """One row of each group of equal texts."""
     found = exact_dedup.exact_dedup(docs).where("kept")
-    return _chosen(docs, found.select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_text")), lambda x: F.sha2(x, 256))
+    kept = found.select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_text"), (F.col("group_size") == 1).alias("alone"))
+    return _chosen(docs, kept, docs["doc_id"], lambda x: F.sha2(x, 256))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group linked by similar sets of five-word shingles."""
-    found = near_dedup.near_duplicates(docs, words=5, similarity=80).where("kept")
-    return _chosen(docs, found.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_text")), F.hash)
+    """One row of each group linked by similar sets of five-word shingles; the texts without words are no copies of each other."""
+    kept = near_dedup.stand_ins(docs, words=5, similarity=80).withColumnsRenamed({"doc_id": "kept_id", "tag": "kept_text"})
+    return _chosen(docs, kept, F.coalesce(docs["doc_id"], F.lit(repeats.NO_ID)), F.xxhash64)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

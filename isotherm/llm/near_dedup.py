@@ -32,7 +32,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.llm.components import connected
@@ -112,10 +112,10 @@ def set_key(shingles: np.ndarray) -> bytes:
     return np.array(sums, np.uint64).tobytes()
 
 
-def sign(words: int):
+def sign(words: int, tag: pa.DataType):
     """Task: texts to sets' names, sizes, buckets and signatures."""
     names = ["doc_id", "tag", "n_shingles", "node", "buckets", "signature"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    kinds = [pa.int64(), tag, pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,16 +267,16 @@ def _in_blocks(members: DataFrame, bodies: DataFrame, words: int, similarity: in
     return full.groupBy("bucket", "low", "high").applyInArrow(confirm_blocks(words, similarity), "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept, text_hash``.
+def _components(docs: DataFrame, words: int, similarity: int, id_col: str, text_col: str, tag: Column) -> tuple[DataFrame, DataFrame]:
+    """All rows as signed, and ``node, doc_id, tag, label`` of those with words; ``label`` names the component, ``NO_ID`` is a null id.
 
-    ``text_hash`` (``hash(text)``) tells rows of one id apart. Documents are linked if 100 * intersection >= similarity * union of their
-    sets; ``component_id`` is the smallest id reachable over links.
+    ``tag``, a hash of ``text``, tells rows of one id apart.
     """
     rows = texts(docs, id_col=id_col, text_col=text_col)
-    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.hash("text").alias("tag"))
-    ddl = "doc_id long, tag int, n_shingles long, node binary, buckets array<long>, signature array<long>"
-    signed = stored(rows.mapInArrow(sign(words), ddl), "signatures")
+    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", tag.alias("tag"))
+    kind = rows.schema["tag"].dataType.simpleString()
+    ddl = f"doc_id long, tag {kind}, n_shingles long, node binary, buckets array<long>, signature array<long>"
+    signed = stored(rows.mapInArrow(sign(words, pa.int32() if kind == "int" else pa.int64()), ddl), "signatures")
     sets = signed.where("n_shingles > 0")
 
     banded = sets.select("node", F.explode("buckets").alias("bucket"))
@@ -307,21 +307,43 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_co
             links = _in_blocks(members, bodies, words, similarity)
         stars = connected(links if stars is None else stars.unionByName(links))
 
-    by_node = sets.select("node", "doc_id").withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
-    if stars is not None:
-        by_node = by_node.join(stars.select(F.col("a").alias("node"), F.col("b").alias("label")), "node", "left")
-        by_node = by_node.select("node", "doc_id", F.coalesce("label", "node").alias("label"))
-    else:
-        by_node = by_node.withColumn("label", F.col("node"))
+    by_node = sets.select("node", "doc_id", "tag")
+    if stars is None:
+        return signed, by_node.withColumn("label", F.col("node"))
+    by_node = by_node.join(stars.select(F.col("a").alias("node"), F.col("b").alias("label")), "node", "left")
+    return signed, by_node.withColumn("label", F.coalesce("label", "node"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept, text_hash``.
+
+    ``text_hash`` (``hash(text)``) tells rows of one id apart. Documents are linked if 100 * intersection >= similarity * union of their
+    sets; ``component_id`` is the smallest id reachable over links.
+    """
+    signed, by_node = _components(docs, words, similarity, id_col, text_col, F.hash("text"))
+    own = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
+    by_node = by_node.select("node", own.alias("doc_id"), "label")
     least = by_node.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = by_node.groupBy("node").agg(F.min("label").alias("label")).join(least, "label").select("node", "component_id")
     found = signed.select("doc_id", "tag", "n_shingles", "node").join(named, "node", "left")
-    own = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(own)
     kept = own.eqNullSafe(component).alias("kept")
     return found.select(own.alias("doc_id"), "n_shingles", component.alias("component_id"), kept, F.col("tag").alias("text_hash"))
 
 
+def stand_ins(docs: DataFrame, words: int = 5, similarity: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id`` (``NO_ID``: null), ``tag`` (``xxhash64(text)``), ``alone``: one text of each component, and every text without words.
+
+    The smallest id stands for its component, of its texts that with the smallest
+    tag. Where not ``alone``, several rows may have this id and text.
+    """
+    signed, by_node = _components(docs, words, similarity, id_col, text_col, F.xxhash64("text"))
+    first = F.min(F.struct((F.col("doc_id") == NO_ID).alias("no_id"), "doc_id", "tag")).alias("first")
+    one = by_node.groupBy("label").agg(first, F.count(F.lit(1)).alias("n"))
+    wordless = signed.where("n_shingles = 0").select("doc_id", "tag").distinct()
+    return one.select("first.doc_id", "first.tag", (F.col("n") == 1).alias("alone")).unionByName(wordless.withColumn("alone", F.lit(True)))
+
+
 def _links(pairs: DataFrame, bodies: DataFrame, words: int, similarity: int) -> DataFrame:
     signatures = bodies.select("node", "signature")
     likely = pairs.join(signatures.withColumnsRenamed({"node": "a", "signature": "signature_a"}), "a")

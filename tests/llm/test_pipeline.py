@@ -68,6 +68,40 @@ def test_rows_that_share_an_id(spark):
     assert got == sorted(map(repr, [(1, "same words here"), (1, "other words there"), (None, None)]))
 
 
+def test_one_row_of_each_group(spark):
+    """Rows repeated with id and text, null ids, and near texts of one id: one stays, and its text is whole."""
+    base = [[f"{letter}{i}" for i in range(120)] for letter in "abcd"]
+    text = [" ".join(words) for words in base]
+    near = [" ".join([*words[:-1], "other"]) for words in base]
+    rows = [
+        *[(1, text[0], "en", source, 1) for source in ("y", "x", "x")],
+        *[(None, text[1], "en", "s", 1)] * 3,
+        (None, near[1], "en", "s", 1),
+        (3, text[2], "en", "s", 1),
+        (3, near[2], "en", "s", 1),
+        (None, text[3], "en", "s", 1),
+        (4, near[3], "en", "s", 1),
+        *[(5, "\t", "en", "s", 1)] * 2,
+    ]
+    docs = stored(spark.createDataFrame(rows, DOC_COLUMNS).repartition(3), "documents")
+    exact = stored(corpus_pipeline.exact_copies(spark, docs, SF_DIR), "exact")
+    assert exact.schema == docs.schema
+    assert sorted(map(repr, map(tuple, exact.collect()))) == sorted(map(repr, [(1, text[0], "en", "x", 1), *rows[5:12]]))
+
+    def groups(frame):
+        found = sorted((next(k for k in range(4) if r.text.split()[0] == base[k][0]), r.doc_id) for r in frame.where("text <> '\t'").collect())
+        return found
+
+    for before, wordless in ((exact, 1), (docs, 2)):
+        apart = stored(corpus_pipeline.near_copies(spark, before, SF_DIR), "near")
+        assert apart.schema == docs.schema
+        assert groups(apart) == [(0, 1), (1, None), (2, 3), (3, 4)]
+        assert [r.source for r in apart.where("doc_id = 1").collect()] == ["x"]
+        assert apart.where("text = '\t'").count() == wordless
+        cut = corpus_pipeline.repeated_passages(spark, apart, SF_DIR).collect()
+        assert sorted(r.text for r in cut) == sorted(r.text for r in apart.collect())
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql_twins(spark, name):
     connection = duckdb.connect()
