@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from isotherm.llm import exact_dedup, language, near_dedup, packing, repeats
 from isotherm.llm.frames import stored, table
 
-#: A text goes if no language has this share of its probability, or if it has no letter.
+#: A text goes if its windows' likeliest languages have less than this probability on average, or if it has no letter.
 LEAST_LANGUAGE_SCORE = 0.4
 
 

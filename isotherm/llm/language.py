@@ -183,12 +183,24 @@ class LanguageJudge:
         self.network = network
         self.tables = network.tables() if network else None
 
-    def __call__(self, text: str) -> tuple[str, float]:
+    def by_window(self, text: str) -> np.ndarray | None:
+        """Probabilities of each window; None without a network or a letter."""
         if self.network is None or not any(c.isalpha() for c in text):
+            return None
+        return self.network.probabilities(windows(text), self.tables)
+
+    def __call__(self, text: str) -> tuple[str, float]:
+        found = self.by_window(text)
+        if found is None:
             return UNKNOWN, 0.0
-        mean = self.network.probabilities(windows(text), self.tables).mean(0, dtype=np.float64)
+        mean = found.mean(0, dtype=np.float64)
         return self.network.languages[int(mean.argmax())], min(1.0, float(mean.max()))
 
+    def known(self, text: str) -> float | None:
+        """Mean over the windows of the probability of each one's likeliest language, whichever that is; None if there is none."""
+        found = self.by_window(text)
+        return None if found is None else float(found.max(1).mean(dtype=np.float64))
+
 
 def identify(docs: DataFrame, network: ByteNetwork | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score`` of every whole text."""
@@ -207,14 +219,17 @@ def identify(docs: DataFrame, network: ByteNetwork | None, id_col: str = "doc_id
 
 
 def keep_known(docs: DataFrame, network: ByteNetwork | None, least_score: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose language is known with at least that score."""
+    """The rows of ``docs``, with all their columns, whose windows are in known languages with at least that mean probability.
+
+    A text may divide among any number of languages.
+    """
     place = docs.columns.index(text_col)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = LanguageJudge(network)
         for batch in batches:
-            found = [judge(text or "") for text in batch.column(place).to_pylist()]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))
+            found = [judge.known(text or "") for text in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array([score is not None and score >= least_score for score in found], pa.bool_()))
 
     configure(docs.sparkSession)
     return docs.mapInArrow(task, docs.schema)

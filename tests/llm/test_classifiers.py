@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from corpus_pipeline import LEAST_LANGUAGE_SCORE
 from isotherm.llm import language, quality
 from isotherm.llm.frames import table
 from llm_fixtures import clashing, doc_frame
@@ -63,6 +64,19 @@ def test_language_defined_cases(spark):
     assert language.train(docs.withColumn("lang", docs["lang"].substr(9, 1)).where("lang IS NULL")) is None
 
 
+@pytest.mark.parametrize("count", [3, 4])
+def test_clean_mixes_are_known(spark, count):
+    docs = table(spark, SF_DIR, "documents")
+    network = language.train(docs)
+    by_lang = {}
+    for r in docs.where("length(text) >= 1024").orderBy("doc_id").collect():
+        by_lang.setdefault(r.lang, []).append(r.text[:1024])
+    mixes = ["\n".join(parts) for parts in zip(*([x[:10] for x in by_lang.values()][:count]), strict=False)]
+    assert len(mixes) == 10
+    kept = language.keep_known(doc_frame(spark, mixes), network, LEAST_LANGUAGE_SCORE)
+    assert kept.count() == len(mixes)
+
+
 def test_trees_learn_and_flatten():
     rng = np.random.default_rng(4)
     rows = rng.normal(size=(3000, 3))
