@@ -27,6 +27,8 @@ from isotherm.session import configure
 WINDOW, EMBEDDING, FILTERS, WIDTHS = 128, 8, 16, (2, 3, 4)
 #: Labelled documents that the network is fitted on, chosen by a hash of the id, and windows of each.
 TRAIN_DOCS, TRAIN_WINDOWS = 6000, 4
+#: So many documents of each language besides, or all but a few where it has no more.
+LANGUAGE_DOCS = 100
 UNKNOWN = "und"
 #: Windows that go through the network at once.
 BLOCK = 512
@@ -143,11 +145,27 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return shifted / shifted.sum(1, keepdims=True)
 
 
+def training_sample(docs: DataFrame, most_docs: int = TRAIN_DOCS, per_language: int = LANGUAGE_DOCS) -> DataFrame:
+    """``doc_id, lang, text`` of the ids with the smallest hashes, and of up to ``per_language`` more ids of each language.
+
+    The latter have the smallest hash in one of so many cells by hash, so that
+    tasks hand on one row a cell. Rows that share id and language are one, by
+    their smallest text.
+    """
+    labelled = texts(docs, F.col("lang").cast("string").alias("lang")).where("doc_id IS NOT NULL AND lang IS NOT NULL AND text <> ''")
+    digest = F.xxhash64("doc_id")
+    low = labelled.select("lang", "doc_id").distinct().orderBy(digest, "doc_id", "lang").limit(most_docs)  # bounded by the parameter
+    cells = labelled.groupBy("lang", F.pmod(digest, F.lit(per_language)).alias("cell"))
+    each = cells.agg(F.min(F.struct(digest.alias("digest"), "doc_id")).alias("least")).select("lang", "least.doc_id")
+    chosen = low.union(each).distinct()
+    return labelled.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+
+
 def train(docs: DataFrame, most_docs: int = TRAIN_DOCS, per_doc: int = TRAIN_WINDOWS, seed: int = 7) -> ByteNetwork | None:
-    """Fit on at most ``most_docs`` rows of ``doc_id, text, lang``; None if no row has a language.
+    """Fit on a sample of ``doc_id, text, lang``; None if no row has a language.
 
-    The sample is the rows with the smallest hash of their id, ``per_doc``
-    windows spread over each; so the driver gets a few megabytes at any size.
+    Of each row of the sample ``per_doc`` windows are spread over the text; so
+    the driver gets a few megabytes at any size.
     """
     schema = pa.schema([("lang", pa.string()), ("data", pa.binary())])
 
@@ -161,10 +179,7 @@ def train(docs: DataFrame, most_docs: int = TRAIN_DOCS, per_doc: int = TRAIN_WIN
                     data.append(found[i].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(data, pa.binary())], schema=schema)
 
-    labelled = texts(docs, F.col("lang").cast("string").alias("lang")).where("lang IS NOT NULL AND text <> ''")
-    digest = F.xxhash64("doc_id")
-    chosen = labelled.select("doc_id").orderBy(digest, "doc_id").limit(most_docs)  # bounded by the parameter
-    sample = labelled.join(F.broadcast(chosen.distinct()), "doc_id", "left_semi").select("doc_id", "text", "lang")
+    sample = training_sample(docs, most_docs).select("doc_id", "text", "lang")
     rows = sample.mapInArrow(task, "lang string, data binary").toArrow().sort_by([("lang", "ascending"), ("data", "ascending")])
     if not rows.num_rows:
         return None

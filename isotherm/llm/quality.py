@@ -143,7 +143,10 @@ def _matrix(found: Iterable[str]) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, most_docs: int = TRAIN_DOCS) -> BoostedTrees | None:
-    """Fit on at most ``most_docs`` labelled documents (``doc_id, label``), those with the smallest hash of their id."""
+    """Fit on at most ``most_docs`` labelled documents (``doc_id, label``), those with the smallest hash of their id.
+
+    Rows that share an id are one document, by their smallest text.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("statistics", pa.list_(pa.float64()))])
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +156,8 @@ def train(docs: DataFrame, labels: DataFrame, most_docs: int = TRAIN_DOCS) -> Bo
 
     known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)  # bounded by the parameter
-    sample = texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    sample = texts(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    sample = sample.select("doc_id", "text", "label")
     rows = sample.mapInArrow(task, "doc_id long, label int, statistics array<double>").toArrow()
     if not rows.num_rows:
         return None

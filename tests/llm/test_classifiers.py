@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpus_pipeline import LEAST_LANGUAGE_SCORE
 from isotherm.llm import language, quality
@@ -64,6 +65,15 @@ def test_language_defined_cases(spark):
     assert language.train(docs.withColumn("lang", docs["lang"].substr(9, 1)).where("lang IS NULL")) is None
 
 
+def test_rare_language_and_repeated_rows_in_the_sample(spark):
+    ids = [*range(300), *[7] * 50, 1000, 1001]
+    docs = doc_frame(spark, [f"common {i}" for i in ids], ids).withColumn("lang", F.when(F.col("doc_id") < 1000, "en").otherwise("xx"))
+    assert language.train(docs, most_docs=20).languages == ["en", "xx"]
+    rows = language.training_sample(docs, most_docs=302).collect()
+    assert sorted(r.doc_id for r in rows) == [*range(300), 1000, 1001]
+    assert 20 <= language.training_sample(docs, most_docs=20).count() <= 20 + 2 * language.LANGUAGE_DOCS
+
+
 @pytest.mark.parametrize("count", [3, 4])
 def test_clean_mixes_are_known(spark, count):
     docs = table(spark, SF_DIR, "documents")
@@ -102,6 +112,14 @@ def test_quality_held_out(spark):
     assert sum((r.score >= quality.THRESHOLD) == r.label for r in found) / len(found) > 0.95
 
 
+def test_quality_learns_one_row_of_an_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit_trees", lambda rows, labels: seen.append(len(rows)))
+    docs = doc_frame(spark, ["a b"] * 40 + ["c d"], [1] * 40 + [2])
+    quality.train(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int"))
+    assert seen == [2]
+
+
 def test_quality_defined_cases(spark):
     docs = clashing(doc_frame(spark, [None, "", "a b", "a b", "x" * 500_000], [1, 2, 3, 3, None]))
     labels = spark.createDataFrame([(1, 1), (1, 0), (3, None), (None, 1), (99, 0)], "doc_id long, label int")
