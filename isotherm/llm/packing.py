@@ -8,6 +8,9 @@ that fill the rest best; the same combination is then used as often as the
 histogram allows. Pieces find their place by their rank among pieces of equal
 length, counted per task, so that no piece passes through the driver.
 
+Unlike the plain library call, names of special tokens within a text, as
+``<|endoftext|>``, are tokenized as plain text (``encode_special_tokens``).
+
 Defined cases: null texts are empty and become one piece of one token (the end
 token); repeated rows are packed each on its own; a null id is kept as null.
 """
