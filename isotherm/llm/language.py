@@ -27,7 +27,7 @@ from isotherm.session import configure
 WINDOW, EMBEDDING, FILTERS, WIDTHS = 128, 8, 16, (2, 3, 4)
 #: Labelled documents that the network is fitted on, chosen by a hash of the id, and windows of each.
 TRAIN_DOCS, TRAIN_WINDOWS = 6000, 4
-#: So many documents of each language besides, or all but a few where it has no more.
+#: Up to so many documents of each language besides; fewer where ids share a cell by hash.
 LANGUAGE_DOCS = 100
 UNKNOWN = "und"
 #: Windows that go through the network at once.
