@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import byte_bpe, chat, exact_dedup, language, lines, near_dedup, packing, quality, repeats, topk
+from isotherm.llm import byte_bpe, chat, exact_dedup, language, lines, near_dedup, packing, phrases, quality, repeats, topk, trie
 from isotherm.llm.frames import table
 
 
@@ -63,6 +63,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,6 +84,8 @@ QUERIES = {
         op8_quality_classifier,
         op9_exact_top_k,
         op10_exact_dedup,
+        op11_conversation_trie,
+        op13_phrase_collocations,
     )
 }
 
