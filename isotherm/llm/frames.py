@@ -53,6 +53,28 @@ def in_batches(batches: Iterable[pa.RecordBatch], step, schema: pa.Schema) -> It
             yield pa.RecordBatch.from_arrays(step(batch), schema=schema)
 
 
+def parts_of(text: bytes, size: int, separators: bytes, beyond: int) -> Iterator[tuple[bytes, int]]:
+    """Pieces of a text of about ``size`` bytes, cut at separators, and how many bytes of each are its own.
+
+    Behind its own bytes a piece has at least ``beyond`` - 1 whole words more, if the text has.
+    """
+    table = bytes(32 if b in separators else 120 for b in range(256))
+    at = 0
+    while at < len(text):
+        cut, reach = -1, size
+        while cut < 0 and at + reach < len(text):  # a word may be longer than a piece
+            cut = text[at : at + reach].translate(table).rfind(b" ")
+            reach *= 2
+        if cut < 0:
+            yield text[at:], len(text) - at
+            return
+        cut, more = at + cut + 1, 64
+        while len(text[cut : cut + more].translate(table).split()) < beyond and cut + more < len(text):
+            more *= 2
+        yield text[at : cut + more], cut - at
+        at = cut
+
+
 def per_process(key: Hashable, make: Callable):
     """What ``make`` gives, made once per worker process.
 

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isotherm.llm.frames import stored
+from isotherm.llm.frames import parts_of, stored
 from isotherm.llm.repeats import PolynomialHash
 from isotherm.session import configure
 
@@ -54,31 +54,6 @@ _GRAMS = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.
 # --- chunks -------------------------------------------------------------------
 
 
-def parts_of(text: bytes, size: int) -> Iterator[tuple[bytes, int]]:
-    """Pieces of a text of about ``size`` bytes, cut at separators, and how many bytes of each are its own.
-
-    Behind its own bytes a piece has the words with which its last phrases end.
-    """
-    table = bytes(_SPACE if b in SPACES + BREAKS else 120 for b in range(256))
-    at = 0
-    while at < len(text):
-        if len(text) - at <= size:
-            yield text[at:], len(text) - at
-            return
-        cut, reach = -1, size
-        while cut < 0 and at + reach < len(text):  # a word may be longer than a part
-            cut = text[at : at + reach].translate(table).rfind(b" ")
-            reach *= 2
-        if cut < 0:
-            yield text[at:], len(text) - at
-            return
-        cut, more = at + cut + 1, 64
-        while len(text[cut : cut + more].translate(table).split()) < LONGEST and cut + more < len(text):
-            more *= 2
-        yield text[at : cut + more], cut - at
-        at = cut
-
-
 class Cutter:
     """Cuts many parts at once."""
 
@@ -141,7 +116,7 @@ def cut_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return pa.RecordBatch.from_arrays([lang, chunk, pa.array(n_own, pa.int32())], schema=_CHUNKS)
 
         for row, text in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
-            for piece, n in parts_of(text, PART_BYTES):
+            for piece, n in parts_of(text, PART_BYTES, SPACES + BREAKS, LONGEST):
                 rows.append(row)
                 parts.append(piece)
                 own.append(n)

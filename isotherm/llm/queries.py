@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm import byte_bpe, chat, exact_dedup, language, lines, near_dedup, packing, phrases, quality, repeats, topk, trie
+from isotherm.llm import byte_bpe, chat, exact_dedup, language, lines, near_dedup, packing, phrases, quality, recompression, repeats, topk, trie
 from isotherm.llm.frames import table
 
 
@@ -67,6 +67,11 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = recompression.cut_later(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -85,6 +90,7 @@ QUERIES = {
         op9_exact_top_k,
         op10_exact_dedup,
         op11_conversation_trie,
+        op12_substring_dedup,
         op13_phrase_collocations,
     )
 }
