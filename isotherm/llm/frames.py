@@ -41,6 +41,21 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def once_each(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``rows`` (``doc_id, tag, text``) with each (id, text) once; the ids of those repeated; and how many of these each task read.
+
+    ``tag`` is a hash of the text. Repeats are found by ids and hashes alone:
+    where there are none, no text is shuffled, and copies are combined by task.
+    """
+    counted = rows.groupBy("doc_id", "tag", F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    many = counted.groupBy("doc_id", "tag").agg(F.sum("n").alias("copies"), F.min("part").alias("first_part")).where("copies > 1")
+    many = stored(many.drop("copies"), "repeated")
+    named = many.select("doc_id", "tag")
+    one_each = rows.join(named, ["doc_id", "tag"], "left_semi").groupBy("doc_id", "tag").agg(F.min("text").alias("text"))
+    once = rows.join(named, ["doc_id", "tag"], "left_anti").select("doc_id", "tag", "text").unionByName(one_each)
+    return once, named, counted.join(many, ["doc_id", "tag"])
+
+
 def width(df: DataFrame) -> int:
     """Partitions for an exchange whose number has to be stated."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -170,7 +170,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines that go for a similar, not an equal one. A null id is shown as null.
     """
     rows = texts(docs, id_col=id_col, text_col=text_col)
-    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.hash("text").alias("tag"))
+    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
     classes = rarity_classes(rows)
 
     numbered = _by_line(rows).withColumn("words", word_numbers(F.col("line"), classes))
@@ -240,7 +240,7 @@ def line_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``kept_sha256`` is the digest of the remaining lines, joined again. Only texts
     that lose a line are brought together with their list of places.
     """
-    rows = texts(docs, id_col=id_col, text_col=text_col).withColumn("tag", F.hash("text"))
+    rows = texts(docs, id_col=id_col, text_col=text_col).withColumn("tag", F.xxhash64("text"))
     removed = removed_lines(docs, id_col, text_col).withColumnsRenamed({"doc_id": "removed_id", "text_hash": "removed_tag"})
     removed = stored(removed, "removed")
     same = (F.coalesce("doc_id", F.lit(NO_ID)) == F.coalesce("removed_id", F.lit(NO_ID))) & (F.col("tag") == F.col("removed_tag"))

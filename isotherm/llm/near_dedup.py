@@ -46,7 +46,7 @@ WORDS = MINIMA * BITS // 64
 GROUP_LOW = sum(1 << i for i in range(0, 64, BITS))
 HUB_ROUNDS = 4
 #: Members of a block, and shingles that are multiplied at once.
-BLOCK, COLUMNS = 512, 2048
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 1 << 18, 2048
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -112,10 +112,10 @@ def set_key(shingles: np.ndarray) -> bytes:
     return np.array(sums, np.uint64).tobytes()
 
 
-def sign(words: int, tag: pa.DataType):
+def sign(words: int):
     """Task: texts to sets' names, sizes, buckets and signatures."""
     names = ["doc_id", "tag", "n_shingles", "node", "buckets", "signature"]
-    kinds = [pa.int64(), tag, pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,8 +257,8 @@ def _labelled(members: DataFrame, stars: DataFrame) -> DataFrame:
 
 def _in_blocks(members: DataFrame, bodies: DataFrame, words: int, similarity: int) -> DataFrame:
     """Links within buckets that hold pairs without a hub; each member goes to its block's pairs of blocks."""
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > HUB_ROUNDS + 1)
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("total")).where(F.col("size") > HUB_ROUNDS + 1)
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
     own = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node", "bucket"), blocks).cast("int"))
     other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     dealt = own.select("bucket", "node", "label", "own", other)
@@ -267,19 +267,18 @@ def _in_blocks(members: DataFrame, bodies: DataFrame, words: int, similarity: in
     return full.groupBy("bucket", "low", "high").applyInArrow(confirm_blocks(words, similarity), "a binary, b binary")
 
 
-def _components(docs: DataFrame, words: int, similarity: int, id_col: str, text_col: str, tag: Column) -> tuple[DataFrame, DataFrame]:
+def _components(docs: DataFrame, words: int, similarity: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """All rows as signed, and ``node, doc_id, tag, label`` of those with words; ``label`` names the component, ``NO_ID`` is a null id.
 
-    ``tag``, a hash of ``text``, tells rows of one id apart.
+    ``tag``, a 64-bit hash of ``text``, tells rows of one id apart.
     """
     rows = texts(docs, id_col=id_col, text_col=text_col)
-    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", tag.alias("tag"))
-    kind = rows.schema["tag"].dataType.simpleString()
-    ddl = f"doc_id long, tag {kind}, n_shingles long, node binary, buckets array<long>, signature array<long>"
-    signed = stored(rows.mapInArrow(sign(words, pa.int32() if kind == "int" else pa.int64()), ddl), "signatures")
+    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
+    ddl = "doc_id long, tag long, n_shingles long, node binary, buckets array<long>, signature array<long>"
+    signed = stored(rows.mapInArrow(sign(words), ddl), "signatures")
     sets = signed.where("n_shingles > 0")
 
-    banded = sets.select("node", F.explode("buckets").alias("bucket"))
+    banded = sets.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
     counted = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     members = banded.join(counted.select("bucket"), "bucket", "left_semi").distinct()
     members = stored(members.withColumn("label", F.col("node")), "members")
@@ -317,10 +316,10 @@ def _components(docs: DataFrame, words: int, similarity: int, id_col: str, text_
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept, text_hash``.
 
-    ``text_hash`` (``hash(text)``) tells rows of one id apart. Documents are linked if 100 * intersection >= similarity * union of their
+    ``text_hash`` (``xxhash64(text)``) tells rows of one id apart. Documents are linked if 100 * intersection >= similarity * union of their
     sets; ``component_id`` is the smallest id reachable over links.
     """
-    signed, by_node = _components(docs, words, similarity, id_col, text_col, F.hash("text"))
+    signed, by_node = _components(docs, words, similarity, id_col, text_col)
     own = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     by_node = by_node.select("node", own.alias("doc_id"), "label")
     least = by_node.groupBy("label").agg(F.min("doc_id").alias("component_id"))
@@ -337,7 +336,7 @@ def stand_ins(docs: DataFrame, words: int = 5, similarity: int = 80, id_col: str
     The smallest id stands for its component, of its texts that with the smallest
     tag. Where not ``alone``, several rows may have this id and text.
     """
-    signed, by_node = _components(docs, words, similarity, id_col, text_col, F.xxhash64("text"))
+    signed, by_node = _components(docs, words, similarity, id_col, text_col)
     first = F.min(F.struct((F.col("doc_id") == NO_ID).alias("no_id"), "doc_id", "tag")).alias("first")
     one = by_node.groupBy("label").agg(first, F.count(F.lit(1)).alias("n"))
     wordless = signed.where("n_shingles = 0").select("doc_id", "tag").distinct()

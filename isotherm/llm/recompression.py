@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.frames import parts_of, stored, texts
+from isotherm.llm.frames import once_each, parts_of, stored, texts
 from isotherm.llm.repeats import NO_ID, PolynomialHash, mixed, sliding
 
 # --- fixed values ---------------------------------------------------------
@@ -304,22 +304,6 @@ def cut_texts(length: int):
     return task
 
 
-def _repeated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with each (id, text) once, and ``doc_id, tag, text`` of all repeats but the first.
-
-    Repeats are found by ids and hashes alone; where there are none, no text is shuffled.
-    """
-    counted = rows.groupBy("doc_id", "tag", F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    many = stored(counted.groupBy("doc_id", "tag").agg(F.sum("n").alias("copies"), F.min("part").alias("part")).where("copies > 1"), "repeated")
-    named = many.select("doc_id", "tag")
-    one_each = rows.join(named, ["doc_id", "tag"], "left_semi").groupBy("doc_id", "tag").agg(F.min("text").alias("text"))
-    once = rows.join(named, ["doc_id", "tag"], "left_anti").select("doc_id", "tag", "text").unionByName(one_each)
-    others = counted.join(many.select("doc_id", "tag", F.col("part").alias("first_part")), ["doc_id", "tag"])
-    others = others.withColumn("n", F.col("n") - (F.col("part") == F.col("first_part")).cast("long")).where("n > 0")
-    others = others.withColumn("nth", F.explode(F.expr("sequence(1L, n)"))).select("doc_id", "tag")  # of one task's rows
-    return once, others.join(one_each, ["doc_id", "tag"])
-
-
 def cut_later(
     docs: DataFrame, length: int = LENGTH, context: int = CONTEXT, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -328,7 +312,10 @@ def cut_later(
         raise ValueError("context has to be longer than a word and shorter than a window")
     rows = texts(docs, id_col=id_col, text_col=text_col)
     rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
-    once, others = _repeated(rows)
+    once, named, counted = once_each(rows)
+    others = counted.withColumn("n", F.col("n") - (F.col("part") == F.col("first_part")).cast("long")).where("n > 0")
+    others = others.withColumn("nth", F.explode(F.expr("sequence(1L, n)"))).select("doc_id", "tag")  # of one task's rows
+    others = others.join(once.join(named, ["doc_id", "tag"], "left_semi"), ["doc_id", "tag"])
     by_doc = later_windows(once, length, context, rounds).groupBy("doc_id", "tag").agg(F.collect_list("first").alias("first"), F.collect_list("starts").alias("starts"))
     marked = once.join(by_doc, ["doc_id", "tag"], "left").select("doc_id", "text", "first", "starts")
     whole = others.select("doc_id", "text", F.array(F.lit(0).cast("long")).alias("first"), F.array(F.lit(-1)).alias("starts"))

@@ -23,8 +23,9 @@ task; its starts are compared by 128-bit hashes of their strings instead, which
 are counted with pre-aggregation. That is the exact way for the rest.
 
 Defined cases: null texts are empty; texts shorter than ``length`` stay whole;
-rows that repeat an id are told apart by their text, and repeated rows get one
-result each; an empty table gives no rows.
+rows that share an id are told apart by a 64-bit hash of their text; of repeated
+rows one is scanned, and as each occurs elsewhere all of their strings go; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,13 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.frames import stored, texts, width
+from isotherm.llm.frames import once_each, stored, texts, width
 
 LENGTH, GRAM, LETTER = 200, 64, 40
 #: Bytes of a text that are hashed at once, and starts that a run has at most; longer ones are cut.
 SEGMENT, RUN_STARTS = 1 << 20, 4096
 #: Bytes of runs whose transforms are merged at once, and of one key at most.
 MERGE_BYTES, MOST_KEY_BYTES = 1 << 19, 1 << 20
+#: Stands for every start of a text, where a row is repeated.
+_ALL = -1
 #: Stands for a null id inside, as joins don't match nulls.
 NO_ID = -(2**63)
 
@@ -130,7 +133,7 @@ class RunScanner:
         return keys.view(np.int64), contents.view(np.int64), first, starts, np.full(len(keys), weight)
 
 
-RUNS = [("key", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int32()), ("first", pa.int64()), ("starts", pa.int32()), ("weight", pa.int32())]
+RUNS = [("key", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("tag", pa.int64()), ("first", pa.int64()), ("starts", pa.int32()), ("weight", pa.int32())]
 
 
 def scan_runs(length: int, gram: int):
@@ -271,7 +274,7 @@ def spans_of(starts: np.ndarray) -> list[int]:
 
 def merge_runs(length: int, letter: int):
     """Task over runs sorted by key: for those that have no equal, which starts are repeated."""
-    schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int32()), ("first", pa.int64()), ("starts", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("first", pa.int64()), ("starts", pa.int32())])
 
     def judged(hashes: PolynomialHash, rows: list[tuple]) -> pa.RecordBatch:
         out = []
@@ -301,7 +304,7 @@ def merge_runs(length: int, letter: int):
 def hash_starts(length: int):
     """Task: runs to 128-bit hashes of the string at each start."""
     names = ["high", "low", "doc_id", "tag", "first", "copies"]
-    schema = pa.schema(list(zip(names, [pa.int64()] * 3 + [pa.int32(), pa.int64(), pa.int64()], strict=True)))
+    schema = pa.schema(list(zip(names, [pa.int64()] * 6, strict=True)))
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = [PolynomialHash(_BASES[0], 4), PolynomialHash(_BASES[1], 5)]
@@ -318,7 +321,7 @@ def hash_starts(length: int):
 def slice_runs(length: int):
     """Task: texts with places of runs to the bytes of the runs."""
     names = ["key", "doc_id", "tag", "first", "copies", "data"]
-    schema = pa.schema(list(zip(names, [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()], strict=True)))
+    schema = pa.schema(list(zip(names, [pa.int64()] * 5 + [pa.binary()], strict=True)))
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,12 +340,12 @@ def slice_runs(length: int):
 def _texts_by_key(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
     carried = [F.struct(*carry).alias("carried")] if carry else []
     rows = texts(docs, *carried, id_col=id_col, text_col=text_col)
-    return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.hash("text").alias("tag"), *rows.columns[2:])
+    return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("tag"), *rows.columns[2:])
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, letter: int = LETTER) -> DataFrame:
-    """``doc_id, tag, first, starts``: places where repeated strings start; ``rows`` has ``doc_id, text, tag``."""
-    ddl = "key long, content long, doc_id long, tag int, first long, starts int, weight int"
+    """``doc_id, tag, first, starts``: places where repeated strings start; ``rows`` has each ``doc_id, tag, text`` once."""
+    ddl = "key long, content long, doc_id long, tag long, first long, starts int, weight int"
     runs = stored(rows.select("doc_id", "text", "tag").mapInArrow(scan_runs(length, gram), ddl), "runs")
     shared = runs.groupBy("key").agg(F.sum("weight").alias("weight")).where("weight > 1").select("key")
     candidates = stored(runs.drop("weight").join(shared, "key", "left_semi"), "candidates")
@@ -359,14 +362,14 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, lett
     def sliced(large: bool) -> DataFrame:
         own = F.filter("runs", lambda r: r["large"] == large)
         found = placed.withColumn("runs", own).where(F.size("runs") > 0).select("doc_id", "tag", "text", "runs")
-        return found.mapInArrow(slice_runs(length), "key long, doc_id long, tag int, first long, copies long, data binary")
+        return found.mapInArrow(slice_runs(length), "key long, doc_id long, tag long, first long, copies long, data binary")
 
     dealt = sliced(False).repartition(width(rows), "key").sortWithinPartitions("key", "doc_id", "tag", "first")
-    merged = dealt.mapInArrow(merge_runs(length, letter), "doc_id long, tag int, first long, starts int")
+    merged = dealt.mapInArrow(merge_runs(length, letter), "doc_id long, tag long, first long, starts int")
     found = settled.select("doc_id", "tag", "first", "starts").unionByName(merged)
     if open_keys.where("large").isEmpty():
         return found
-    hashed = stored(sliced(True).mapInArrow(hash_starts(length), "high long, low long, doc_id long, tag int, first long, copies long"), "starts")
+    hashed = stored(sliced(True).mapInArrow(hash_starts(length), "high long, low long, doc_id long, tag long, first long, copies long"), "starts")
     twice = hashed.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("high", "low")
     rest = hashed.where("copies < 2").join(twice, ["high", "low"], "left_semi")
     return found.unionByName(rest.select("doc_id", "tag", "first", F.lit(1).alias("starts")))
@@ -393,9 +396,10 @@ def cut_repeats(
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
     rows = _texts_by_key(docs, id_col, text_col, carry or [])
     carried = ["carried"] if carry else []
-    by_doc = repeated_spans(rows, length, gram, letter).groupBy("doc_id", "tag").agg(
-        F.collect_list("first").alias("first"), F.collect_list("starts").alias("starts")
-    )
+    once, many, _ = once_each(rows)
+    everywhere = many.select("doc_id", "tag", F.lit(0).cast("long").alias("first"), F.lit(_ALL).alias("starts"))
+    spans = repeated_spans(once, length, gram, letter).unionByName(everywhere)
+    by_doc = spans.groupBy("doc_id", "tag").agg(F.collect_list("first").alias("first"), F.collect_list("starts").alias("starts"))
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -405,7 +409,9 @@ def cut_repeats(
                 if not first[row].is_valid:
                     out.append((len(text), 0, 0, text))
                     continue
-                begin, count = (np.array(x[row].values.to_numpy()) for x in (first, starts))
+                begin, count = (np.array(x[row].values.to_numpy(), np.int64) for x in (first, starts))
+                count = np.where(count == _ALL, max(len(text) - length + 1, 0), count)
+                begin, count = begin[count > 0], count[count > 0]
                 change = np.zeros(len(text) + 1, np.int64)
                 np.add.at(change, begin, 1)
                 np.add.at(change, begin + count + length - 1, -1)

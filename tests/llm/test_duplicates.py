@@ -4,8 +4,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from isotherm.llm import lines, near_dedup, repeats
+from isotherm.llm.frames import once_each
 from isotherm.llm.components import connected
 from isotherm.llm.lines import line_digests, removed_lines
 from llm_fixtures import clashing, components, doc_frame, repeated_bytes, shingle_set
@@ -80,6 +82,7 @@ def test_intersections_and_ties():
 def test_a_large_group_of_near_copies(spark, monkeypatch, original):
     """With the original all copies hang together; without it many pairs are just too different."""
     monkeypatch.setattr(near_dedup, "BLOCK", 50)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 6000)
     rng, base = random.Random(4), " ".join(str(i) for i in range(300))
     texts = [changed(base, rng, 5) for _ in range(200)] + [base] * original
     sets = [shingle_set(t, 5) for t in texts]
@@ -213,3 +216,37 @@ def test_lines_defined_cases(spark):
     got = sorted((repr(r.doc_id), r.n_lines, r.n_removed) for r in line_digests(docs).collect())
     assert got == sorted([("None", 1, 0), ("None", 1, 0), ("1", 2, 1), ("1", 2, 1), ("2", 1, 1)])
     assert line_digests(doc_frame(spark, [])).collect() == []
+
+
+def test_texts_of_null_ids_with_equal_small_hash(spark):
+    """Two null ids whose texts have one 32-bit ``hash``: only the passage that the other document holds goes."""
+    passage = " ".join(f"shared{i}" for i in range(40))
+    kept, cut = equal_hashes(spark, own_text(9), passage)
+    docs = doc_frame(spark, [cut, kept, passage], [None, None, 7])
+    got = {(r.doc_id, r.n_bytes, r.n_removed) for r in repeats.cut_repeats(docs).collect()}
+    assert got == {(None, len(cut), len(passage)), (None, len(kept), 0), (7, len(passage), len(passage))}
+
+
+def equal_hashes(spark, a, b):
+    """Both texts with endings that give them one 32-bit ``hash``."""
+    ends = spark.range(300_000)
+    made = [ends.select(F.concat(F.lit(f"{x}+"), F.col("id").cast("string")).alias(name)).withColumn("h", F.hash(name)) for x, name in ((a, "a"), (b, "b"))]
+    return made[0].join(made[1], "h").select("a", "b").first()
+
+
+def own_text(seed):
+    rng = random.Random(seed)
+    return " ".join(f"own{rng.randrange(10**6)}" for _ in range(40))
+
+
+def test_repeated_rows_do_not_multiply(spark):
+    """Spans and candidates are those of one row, however often it is repeated; each row gets its result."""
+    body = " ".join(f"line{i}" for i in range(300))
+    docs = doc_frame(spark, ["dummy"], [1]).limit(0)
+    many = spark.range(10_000).selectExpr("5L AS doc_id", f"'{body}' AS text", "'en' AS lang", "'src' AS source", "0L AS n_chars")
+    other = doc_frame(spark, [body[:400] + own_text(3), own_text(4)], [6, None])
+    rows = docs.union(many).union(other).select("doc_id", "text", F.xxhash64("text").alias("tag"))
+    once, _, _ = once_each(rows)
+    assert once.count() == 3
+    got = repeats.cut_repeats(many.union(other)).groupBy("doc_id", "n_bytes", "n_removed").count().collect()
+    assert {tuple(r) for r in got} == {(5, len(body), len(body), 10_000), (6, 400 + len(own_text(3)), 400, 1), (None, len(own_text(4)), 0, 1)}

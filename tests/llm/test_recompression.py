@@ -68,14 +68,6 @@ def test_repeated_rows_and_shared_ids(spark):
     assert found(spark, rows) == brute_force(rows, 20)
 
 
-def test_texts_of_null_ids_with_equal_small_hash(spark):
-    """Rows are told apart by more than 32 bits: these two have one ``hash``."""
-    words = " ".join(f"v{i}" for i in range(60))
-    rows = [(None, words + "+35049"), (None, "other words " * 2 + "+8904"), (7, words)]
-    result = found(spark, rows)
-    assert sum(result.values()) == 3 and (None, 5, 0, "other words other words +8904") in result
-
-
 def test_anchor_depends_on_its_window_alone():
     scanner = recompression.Scanner(20, 10, 3)
     pick = random.Random(8)
