@@ -8,8 +8,8 @@ that fill the rest best; the same combination is then used as often as the
 histogram allows. Pieces find their place by their rank among pieces of equal
 length, counted per task, so that no piece passes through the driver.
 
-Unlike the plain library call, names of special tokens within a text, as
-``<|endoftext|>``, are tokenized as plain text (``encode_special_tokens``).
+Ids are those of the plain library call: the name of a special token within a text
+becomes its one id. Texts that hold such a name go through the library as a whole.
 
 Defined cases: null texts are empty and become one piece of one token (the end
 token); repeated rows are packed each on its own; a null id is kept as null.
@@ -49,13 +49,20 @@ class WordTokens(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        splits = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"]
+        self.tokenizer.encode_special_tokens = True  # chunks are plain text, see encode
+        self.plain = Tokenizer.from_file(path)
+        form = json.loads(self.tokenizer.to_str())
+        self.added = [token["content"].lower() for token in form["added_tokens"]]
+        splits = form["pre_tokenizer"]["pretokenizers"]
         self.find = regex.compile(splits[0]["pattern"]["Regex"]).findall
         self.words: dict[str, bytes] = {}
 
     def library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._ids(self.tokenizer, text)
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def word(self, word: str) -> bytes:
         ids = self.words.get(word)
@@ -84,6 +91,9 @@ class WordTokens(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
+        lowered = text.lower()
+        if any(token in lowered for token in self.added):  # may be a control token within the text
+            return self._ids(self.plain, text)
         if any(c in text for c in ODD_SPACES):
             return self.library(text)
         return b"".join(map(self.__getitem__, text.split()))

@@ -17,6 +17,7 @@ TEXTS = [
     "",
     "one two three",
     "Ünïcode STRASSE naïve x ΣΑΣ 日本語 <|endoftext|> it's 12½",
+    "end <|endoftext|> of<|startoftext|>x <|EndOfText|>\x1c<|endoftext|",
     "a\x1cb \x0b c d é",
     "word " * 700,
     "the same",
@@ -27,9 +28,7 @@ TEXTS = [
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.mark.parametrize("text", [t for t in TEXTS if t])
