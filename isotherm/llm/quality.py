@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.llm.frames import texts
+from isotherm.llm.language import lowest
 
 #: Labelled documents that the trees are fitted on, chosen by a hash of the id.
 TRAIN_DOCS = 20_000
@@ -155,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, most_docs: int = TRAIN_DOCS) -> Bo
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), found], schema=schema)
 
     known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)  # bounded by the parameter
+    chosen = lowest(known, most_docs, "doc_id")  # bounded by the parameter
     sample = texts(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     sample = sample.select("doc_id", "text", "label")
     rows = sample.mapInArrow(task, "doc_id long, label int, statistics array<double>").toArrow()

@@ -130,3 +130,11 @@ def test_quality_defined_cases(spark):
     assert quality.train(docs, labels.limit(0)) is None
     assert {r.score for r in quality.score(docs, None).collect()} == {0.5}
     assert quality.score(docs.limit(0), trees).collect() == []
+
+
+def test_lowest_hashes_of_many_rows(spark):
+    ids = spark.range(50_000).selectExpr("id AS doc_id", "id % 3 AS label")
+    want = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id")).limit(700).collect()]
+    found = language.lowest(ids, 700, "doc_id", "label")
+    assert [r.doc_id for r in found.collect()] == want
+    assert language.lowest(ids.unionAll(ids), 100_000, "doc_id", "label").count() == 50_000
