@@ -57,9 +57,9 @@ def _count(failed: Column) -> Column:
 
 
 def _split_by_date(readings: DataFrame) -> DataFrame:
-    error = F.when(F.col("error").isNotNull(), F.struct("block", "line", "error"))
+    error = F.when(F.col("error").isNotNull(), F.struct("at", "error"))
     return readings.groupBy("file_id", "date").agg(
-        *extreme_columns(("block", "line")), F.min(error).alias("first_error")
+        *extreme_columns(("at",)), F.min(error).alias("first_error")
     )
 
 
