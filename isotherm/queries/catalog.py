@@ -28,6 +28,7 @@ from isotherm.schemas import SUMMARY_COLUMNS
 from isotherm.session import scratch_path
 from isotherm.sinks.table import APPEND, CREATE_AND_DEDUPE, create_table, write_outcomes
 from isotherm.sources.files import read_object_files, scan_delimited
+from isotherm.sources.json_splits import scan_json
 from isotherm.streaming.jobs import TRIM_HORIZON, stream_files, stream_notifications, stream_payloads
 
 OUTCOME_COLUMNS = ["status", "records_processed", "records_written"]
@@ -299,6 +300,26 @@ def delimited_scan_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.select(_drop_name("file_id").alias("file_name"), *OUTCOME_COLUMNS)
 
 
+def _json_readings(spark: SparkSession, sf_dir: str, flawed: bool = False) -> DataFrame:
+    """JSON files of both shapes, their records found by ranges of 64 KiB; with flaws, those of every fifth user are cut short."""
+    root = scratch_path(spark, "drops")
+    files = t.json_list_files(t.observations(spark, sf_dir)).withColumn("drop", F.regexp_replace("object_name", "[/.]", "_"))
+    if flawed:
+        files = files.withColumn("text", F.expr("CASE WHEN user_id % 5 = 0 THEN left(text, length(text) - 1) ELSE text END"))
+    files.select("drop", "text").write.partitionBy("drop").text(root)
+    return scan_json(spark, root, split_bytes=1 << 16)
+
+
+def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = split_file_rows(_json_readings(spark, sf_dir))
+    return rows.select(_drop_name("file_id").alias("file_name"), *SUMMARY_COLUMNS)
+
+
+def json_scan_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes = split_file_outcomes(_json_readings(spark, sf_dir, flawed=True))
+    return outcomes.select(_drop_name("file_id").alias("file_name"), *OUTCOME_COLUMNS, "error_message")
+
+
 def _fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes of notifications of stored files, which the tasks open by name, and of as many that are not there."""
     root = _write_csv_files(spark, sf_dir)
@@ -406,6 +427,8 @@ QUERIES = {
     "rows_by_date": rows_by_date,
     "delimited_scan": delimited_scan,
     "delimited_scan_outcomes": delimited_scan_outcomes,
+    "json_scan": json_scan,
+    "json_scan_outcomes": json_scan_outcomes,
     "fetch_ingest": fetch_ingest,
     "fetch_misses": fetch_misses,
     "stream_files": stream_file_arrivals,

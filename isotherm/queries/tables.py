@@ -58,6 +58,7 @@ WHEN 0 THEN concat('[', array_join(records, ','), ']')
 WHEN 1 THEN concat('{"source":"x","records":[', array_join(records, ', '), ']}')
 END
 """
+JSON_LIST_TEXT = JSON_TEXT.replace("END\n", "ELSE concat(' [\n', array_join(records, '\n,'), '\n]') END\n")
 XML_RECORD = (
     "concat('<{tag}><Date>', date, '</Date><City>', city, "
     "'</City><Temperature unit=\"Fahrenheit\">', temperature, '</Temperature></{tag}>')"
@@ -79,6 +80,11 @@ def json_files(rows: DataFrame) -> DataFrame:
     return _named(by_file(rows.where("user_id % 3 < 2"), JSON_RECORD), JSON_TEXT, "'.json'").unionByName(single)
 
 
+def json_list_files(rows: DataFrame) -> DataFrame:
+    """An array, or an object with records, per file of every user."""
+    return _named(by_file(rows, JSON_RECORD), JSON_LIST_TEXT, "'.json'")
+
+
 def event_files(rows: DataFrame, text: str, extension: str) -> DataFrame:
     """A file per event, with ``event_id``-ordered names."""
     named = rows.select("user_id", F.expr(f"concat('user-', user_id, '/event-', pos, '{extension}')").alias("object_name"), F.expr(text).alias("text"))

@@ -1,6 +1,7 @@
 import datetime
 import json
 import os
+import shutil
 import time
 import uuid
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from isotherm import create_table, stream_files, stream_notifications, stream_payloads
-from isotherm.sinks.table import append_rows
+from isotherm.sinks.table import append_once, append_rows
 from isotherm.operators.payloads import number_payloads, payload_files
 from isotherm.streaming.jobs import starting_position
 from isotherm.streaming.ledger import Ledger
@@ -202,3 +203,52 @@ def test_file_stream(spark, tmp):
     run()
     run()
     assert content(spark, name) == [("d1", 5, "c,c", 5, "c,c"), ("d2", 2, "c", 2, "c")]
+
+
+def append_stream(spark, tmp, name):
+    query = stream_files(spark, f"{tmp}/in", "s3://in", name, f"{tmp}/check", mode="append", available_now=True)
+    query.awaitTermination()
+
+
+def test_batch_is_not_repeated_after_a_crash_before_its_record(spark, tmp, monkeypatch):
+    """The job ends between the table's commit and the ledger's entry; the replay adds nothing."""
+    name = create_table(spark, new_name())
+    put(f"{tmp}/in/a.csv", HEAD + "d1,b,9\nd2,b,2\nd1,c,11")
+    put(f"{tmp}/in/b.csv", HEAD + "d1,b,9")
+    want = [("d1", 9, "b", 9, "b"), ("d1", 11, "c", 9, "b"), ("d2", 2, "b", 2, "b")]
+
+    def crash(*args):
+        raise RuntimeError("the machine is gone")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(Ledger, "finish", crash)
+        with pytest.raises(Exception, match="the machine is gone"):
+            append_stream(spark, tmp, name)
+    assert content(spark, name) == want
+    append_stream(spark, tmp, name)
+    assert content(spark, name) == want
+    put(f"{tmp}/in/c.csv", HEAD + "d1,b,9")
+    append_stream(spark, tmp, name)
+    assert content(spark, name) == sorted([*want, ("d1", 9, "b", 9, "b")])
+
+
+def test_append_once_goes_on_after_a_crash_between_files(spark, tmp):
+    """Some files are in the table, one is there but not taken from its folder, some are to come."""
+    name = create_table(spark, new_name())
+    rows = spark.range(40).selectExpr("concat('d', id) AS date", "1 AS max_temp", "'a' AS max_temp_city", "0 AS min_temp", "'b' AS min_temp_city")
+    staged, table = f"{tmp}/staged", spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"].removeprefix("file:")
+    rows.repartition(4).write.parquet(staged)
+    files = sorted(f for f in os.listdir(staged) if f.startswith("part-"))
+    os.rename(f"{staged}/{files[0]}", f"{table}/{files[0]}")
+    shutil.copy(f"{staged}/{files[1]}", f"{table}/{files[1]}")
+    for _ in range(3):
+        append_once(rows.where("false"), name, staged)
+        assert spark.table(name).count() == 40 and spark.table(name).distinct().count() == 40
+
+
+def test_misses_are_logged_without_a_path(spark, tmp, caplog):
+    name = create_table(spark, new_name())
+    put(f"{tmp}/in/1", "\n".join([envelope(key="gone.csv"), "no message"]))
+    stream_notifications(spark, f"{tmp}/in", name, f"{tmp}/check", location=f"file://{tmp}", position="TRIM_HORIZON", available_now=True).awaitTermination()
+    said = [r.getMessage() for r in caplog.records if r.name == "isotherm"]
+    assert said == ["batch 0: 1 messages that are no notifications", "batch 0: 1 notifications whose object could not be read"]
