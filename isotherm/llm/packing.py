@@ -18,6 +18,8 @@ token); repeated rows are packed each on its own; a null id is kept as null.
 from __future__ import annotations
 
 import json
+import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -53,6 +55,7 @@ class WordTokens(dict):
         self.plain = Tokenizer.from_file(path)
         form = json.loads(self.tokenizer.to_str())
         self.added = [token["content"].lower() for token in form["added_tokens"]]
+        self.mark = re.match(r"[^A-Za-z]*", os.path.commonprefix(self.added))[0]  # all of them begin so, in any case
         splits = form["pre_tokenizer"]["pretokenizers"]
         self.find = regex.compile(splits[0]["pattern"]["Regex"]).findall
         self.words: dict[str, bytes] = {}
@@ -91,9 +94,10 @@ class WordTokens(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        lowered = text.lower()
-        if any(token in lowered for token in self.added):  # may be a control token within the text
-            return self._ids(self.plain, text)
+        if self.mark in text:
+            lowered = text.lower()
+            if any(token in lowered for token in self.added):  # may be a control token within the text
+                return self._ids(self.plain, text)
         if any(c in text for c in ODD_SPACES):
             return self.library(text)
         return b"".join(map(self.__getitem__, text.split()))
