@@ -148,5 +148,45 @@ SELECT doc_id,
   sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op12_substring_dedup": r"""
+WITH docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
+), starts AS (SELECT doc_id, words, unnest(range(greatest(len(words) - 19, 0))) AS s FROM docs),
+windows AS (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(words[s + 1:s + 20], ' ') ORDER BY doc_id, s) AS nth FROM starts),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM windows WHERE nth > 1),
+per_doc AS (SELECT doc_id, list(i) AS places FROM gone GROUP BY doc_id)
+SELECT doc_id,
+  CAST(len(words) AS BIGINT) AS n_words,
+  CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(list_filter(words, lambda w, i: NOT list_contains(coalesce(places, []), i - 1)), ' '), '')) AS kept_sha256
+FROM docs LEFT JOIN per_doc USING (doc_id)
+""",
+    "op13_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+sized AS (SELECT lang, ws, unnest([1, 2, 3]) AS k FROM lists),
+placed AS (SELECT lang, ws, k, unnest(range(greatest(len(ws) - k + 1, 0))) AS i FROM sized),
+f AS (SELECT lang, k, ws[i + 1:i + k] AS phrase, count(*) AS f FROM placed GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.a, cut, x.f AS l, y.f AS r,
+    CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = c.phrase[1:cut]
+  JOIN f y ON y.lang = c.lang AND y.phrase = c.phrase[cut + 1:]
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+shadows AS (
+  SELECT lang, part, max(a) AS longer
+  FROM (SELECT lang, a, unnest([phrase[1:2], phrase[2:3]]) AS part FROM candidates WHERE k = 3) GROUP BY lang, part
+), kept AS (
+  SELECT b.lang, array_to_string(b.phrase, ' ') AS phrase, b.a, b.l, b.r, b.score
+  FROM best b LEFT JOIN shadows s ON s.lang = b.lang AND s.part = b.phrase WHERE longer IS NULL OR 100 * longer < 50 * b.a
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS "rank" FROM kept)
+SELECT lang, "rank", phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE "rank" <= 2000
 """,
 }
