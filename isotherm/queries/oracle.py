@@ -235,4 +235,55 @@ ORACLE = {
     "stream_payloads": TABLE_ROWS,
     "stream_payload_dates": f"WITH {OBS} SELECT DISTINCT date FROM obs",
     "stream_notifications": TABLE_ROWS,
+    "bad_bytes": f"""
+        WITH {OBS},
+        marked AS (SELECT *, CASE WHEN pos % 3 < 2 THEN chr(65533) ELSE chr(233) END || city AS place FROM obs)
+        SELECT {EVENT_NAME} || '.csv' AS object_name, date, t AS max_temp, place AS max_temp_city, t AS min_temp, place AS min_temp_city
+        FROM marked""",
+    "json_malformed": f"""
+        WITH {OBS}
+        SELECT {EVENT_NAME} || '.json' AS object_name, CASE WHEN pos % 6 = 5 THEN 'SUCCESS' ELSE 'FAILURE' END AS status,
+               CAST(pos % 6 = 5 AS BIGINT) AS records_processed, CAST(pos % 6 = 5 AS BIGINT) AS records_written,
+               pos % 6 <> 5 AS has_message, CAST(pos % 6 = 5 AS INTEGER) AS row_count
+        FROM obs""",
+    "record_order": f"""
+        WITH {FILE_ROWS}
+        SELECT {_name('.csv')} AS object_name, CAST(row_number() OVER (PARTITION BY user_id, part ORDER BY date) - 1 AS INTEGER) AS place, date
+        FROM file_rows""",
+    "processing_times": f"""
+        WITH {OBS}, files AS (SELECT DISTINCT user_id, part FROM obs)
+        SELECT 'message-' || row_number() OVER (ORDER BY {_name('.csv')}) || '.payload' AS object_name,
+               true AS event_is_new, true AS processed_now
+        FROM files""",
+    "empties_table": f"""
+        WITH {OBS}
+        SELECT date, CASE pos % 7 WHEN 6 THEN 2147483647 ELSE t END AS max_temp, city AS max_temp_city,
+               CASE pos % 7 WHEN 6 THEN 2147483647 ELSE t END AS min_temp, CASE pos % 7 WHEN 6 THEN '' ELSE city END AS min_temp_city
+        FROM obs WHERE pos % 7 NOT IN (0, 4, 5)""",
+    "partial_table": f"""
+        WITH {FILE_ROWS}, {JUDGED},
+        failed AS (SELECT DISTINCT user_id, part FROM judged WHERE error IS NOT NULL)
+        SELECT {COLUMNS} FROM file_rows ANTI JOIN failed USING (user_id, part)""",
+    "tables_by_format": f"""
+        WITH {FILE_ROWS}
+        SELECT 'rows_' || lower({MIXED_FORMAT}) AS table_name, count(*) AS n_rows FROM file_rows GROUP BY 1
+        UNION ALL SELECT 'temperature_summary', 0""",
+    "rows_of_new_dates": f"""
+        WITH {FILE_ROWS}
+        SELECT {_name('.csv')} AS object_name, {COLUMNS} FROM file_rows
+        WHERE date NOT IN (SELECT date FROM obs WHERE substring(date, 9, 2) <= '10')""",
+    "csv_output": f"""
+        WITH {FILE_ROWS}
+        SELECT {_name('.csv')} AS object_name, date, CAST(max_temp AS VARCHAR) AS max_temp, max_temp_city,
+               CAST(min_temp AS VARCHAR) AS min_temp, min_temp_city
+        FROM file_rows""",
+    "write_retry": f"WITH {FILE_ROWS} SELECT {COLUMNS}, CAST(3 AS INTEGER) AS tries, CAST(3.0 AS DOUBLE) AS waited FROM file_rows",
+    "missing_table": f"""
+        WITH {OBS} SELECT DISTINCT {_name('.csv')} AS object_name, CAST(1 AS INTEGER) AS tries, true AS names_table FROM obs""",
+    "custom_parser": f"""
+        WITH {FILE_ROWS}
+        SELECT CASE user_id % 2 WHEN 0 THEN {_name('.pipe')} ELSE {_name('.csv')} END AS object_name,
+               CASE user_id % 2 WHEN 0 THEN 'PIPE' ELSE 'CSV' END AS format, {COLUMNS}
+        FROM file_rows""",
+    "stream_latest": f"WITH {FILE_ROWS} SELECT {COLUMNS} FROM file_rows WHERE user_id % 2 = 1",
 }
