@@ -1,14 +1,14 @@
-"""Line deduplication by an exact set-similarity join, in DataFrame functions alone.
+"""Line deduplication by an exact set-similarity join; words are numbered by numpy in tasks, the join is DataFrame functions.
 
 A line is the set of its words. A line is removed if an earlier one (by id, then
 place in the text) has an equal set, or one with a Jaccard similarity of at least
 4/5. Each step covers all lines:
 
-1. Words are counted in 16384 hash cells, which tells the frequent words from
-   the rest. A word's number has the size class of its cell in front, then its
-   length, as among words that are not frequent the longer ones are rarer, then
-   its hash; so ordering numbers orders words by rarity. The classes are 16384
-   bytes, whatever the vocabulary; any order would be right, this one is fast.
+1. Words are counted in 2^21 hash cells, over all lines. A word's number has the
+   size class of its cell in front, then its hash; so ordering numbers orders
+   words by rarity. The classes are 2 MB, whatever the vocabulary; any order would
+   be right, this one is fast. A word whose cell counts one can't be shared and
+   leaves the prefixes; sets of less than four words have equal ones only.
 2. Equal sets become one node with its earliest line, combined on the map side.
 3. Two sets of n words that are similar enough share a word among their first
    n - ceil(4n/5) + 1 in that order (prefix filter). Nodes meet by these words;
@@ -28,67 +28,32 @@ are one document; a null id comes first.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.llm.frames import stored, texts, width
+from isotherm.llm.line_words import CELLS, LINES, cell_counts, number_lines, whole_sets
 from isotherm.llm.repeats import NO_ID
 
-CELLS, LENGTH_BITS, HASH_BITS = 1 << 14, 6, 50
 HUB_ROUNDS = 3
 #: Words of at most so many nodes give pairs at once.
 FEW = 32
 
 
-def line_words(line: Column) -> Column:
-    """Words between spaces, tabs, carriage returns and line ends; with empty ones between two of these."""
-    other = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\n"))
-    return F.split(F.when(other, F.translate(line, "\t\r\n", "   ")).otherwise(line), " ")
-
-
-def cell(digest: Column) -> Column:
-    return digest.bitwiseAND(F.lit(CELLS - 1)).cast("int")
-
-
 def rarity_classes(rows: DataFrame) -> bytes:
-    """For each cell, twice the binary logarithm of its count; CELLS bytes at any size of input."""
-    words = rows.select(F.explode(line_words(F.col("text"))).alias("word")).where("word <> ''")
-    counted = words.groupBy(cell(F.xxhash64("word")).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    classes = bytearray(CELLS)
-    for row in counted.select("cell", F.least(F.lit(127), F.floor(2 * F.log2("n"))).alias("size_class")).collect():
-        classes[row["cell"]] = row["size_class"]
-    # What is not clearly above the mean of all cells is not frequent.
-    usual = int(sum(classes) / CELLS) + 2
-    return bytes(x if x > usual else 0 for x in classes)
-
-
-def word_numbers(line: Column, classes: bytes) -> Column:
-    """The line's distinct words as numbers, rarest first."""
-    table, longest = F.lit(classes), (1 << LENGTH_BITS) - 1
-
-    def both(word: Column) -> Column:
-        return F.struct(F.xxhash64(word).alias("digest"), F.octet_length(word).alias("size"))
-
-    def number(word: Column) -> Column:
-        digest = word["digest"]
-        size_class = F.ascii(F.substring(table, cell(digest) + 1, F.lit(1)).cast("string"))
-        order = size_class * (longest + 1) + F.greatest(F.lit(0), F.lit(longest) - word["size"])
-        low = digest.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-        kept = F.shiftleft(order.cast("long"), HASH_BITS).bitwiseOR(low)
-        return F.when(word["size"] > 0, kept).otherwise(F.lit(-1))
-
-    numbers = F.array_distinct(F.transform(F.transform(line_words(line), both), number))
-    return F.sort_array(F.array_remove(numbers, F.lit(-1).cast("long")))
+    """For each cell eight times the binary logarithm of its count, 0 for a single word; CELLS bytes at any size of input."""
+    counted = rows.select("text").mapInArrow(cell_counts, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1")
+    found = counted.select("cell", F.least(F.lit(255), F.floor(8 * F.log2("n"))).cast("int").alias("size_class")).toArrow()
+    classes = np.zeros(CELLS, np.uint8)
+    classes[found["cell"].to_numpy()] = found["size_class"].to_numpy()
+    return classes.tobytes()
 
 
 def similar(both: Column, n_a: Column, n_b: Column) -> Column:
     return 5 * both >= 4 * (n_a + n_b - both)
 
 
-def _by_line(rows: DataFrame) -> DataFrame:
-    return rows.select("doc_id", "tag", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-
-
 def _nodes(lines: DataFrame) -> DataFrame:
     """Equal sets as one: ``node, other, first``; two hashes name a set."""
     return lines.groupBy("node", "other").agg(F.min(F.struct("doc_id", "tag", "line_no")).alias("first"))
@@ -103,8 +68,10 @@ def _entries(lines: DataFrame, partitions: int) -> DataFrame:
 
     Copies of a line are one set by now, so a word has a row per different line.
     """
-    sets = lines.groupBy("node", "other").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    return sets.select("node", "n", F.posexplode("prefix").alias("place", "word")).repartition(partitions, "word")
+    known = lines.where(F.size("prefix") > 0)
+    sets = known.groupBy("node", "other").agg(F.first("n").alias("n"), F.first("skipped").alias("skipped"), F.first("prefix").alias("prefix"))
+    entries = sets.select("node", "n", "skipped", F.posexplode("prefix").alias("place", "word"))
+    return entries.withColumn("place", F.col("place") + F.col("skipped")).drop("skipped").repartition(partitions, "word")
 
 
 def _with_few(entries: DataFrame) -> DataFrame:
@@ -166,25 +133,14 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text_hash, removed, near``: places of the lines to remove, for documents that have any.
 
-    ``text_hash`` (``hash(text)``) tells rows of one id apart; ``near`` counts the
+    ``text_hash`` (``xxhash64(text)``) tells rows of one id apart; ``near`` counts the
     lines that go for a similar, not an equal one. A null id is shown as null.
     """
     rows = texts(docs, id_col=id_col, text_col=text_col)
     rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
     classes = rarity_classes(rows)
 
-    numbered = _by_line(rows).withColumn("words", word_numbers(F.col("line"), classes))
-    n = F.size("words")
-    lines = numbered.select(
-        "doc_id",
-        "tag",
-        "line_no",
-        F.xxhash64("words").alias("node"),
-        F.xxhash64("words", F.lit(1)).alias("other"),
-        n.alias("n"),
-        F.slice("words", 1, prefix_length(n)).alias("prefix"),
-    ).where("n > 0")
-    lines = stored(lines, "lines")
+    lines = stored(rows.select("doc_id", "tag", "text").mapInArrow(number_lines(classes), LINES), "lines")
     nodes = stored(_nodes(lines), "nodes")
     entries = _entries(lines, width(rows))
     few = stored(_with_few(entries), "pairs")
@@ -194,8 +150,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     wanted = few.select(F.explode(F.array("a", "b")).alias("node")).unionByName(members.select("node")).distinct()
     asked = nodes.join(wanted, "node", "left_semi").select("node", "first.*").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("line_no", "node")).alias("asked"))
     holders = rows.join(stored(asked, "asked"), ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"])
-    line = F.get(F.split("text", "\n"), F.col("one.line_no"))
-    bodies = holders.select("text", F.explode("asked").alias("one")).select("one.node", word_numbers(line, classes).alias("words"))
+    bodies = holders.select("text", "asked").mapInArrow(whole_sets(classes), "node long, words array<long>")
     sets = stored(bodies, "sets")
 
     # Of two similar nodes the one whose first line comes later goes.
