@@ -133,10 +133,10 @@ def lists(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> pa.ListA
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values[places]))
 
 
-LINES = "doc_id long, tag long, line_no int, node long, other long, n int, skipped int, prefix array<long>"
+LINES = "doc_id long, tag long, line_no int, node long, other long, n int, skipped int, low long, high long, prefix array<long>"
 LINES_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("tag", pa.int64()), ("line_no", pa.int32()), ("node", pa.int64()), ("other", pa.int64())]
-    + [("n", pa.int32()), ("skipped", pa.int32()), ("prefix", pa.list_(pa.int64()))]
+    + [("n", pa.int32()), ("skipped", pa.int32()), ("low", pa.int64()), ("high", pa.int64()), ("prefix", pa.list_(pa.int64()))]
 )
 
 
@@ -144,7 +144,8 @@ def number_lines(classes: bytes):
     """Task: rows ``doc_id, tag, text`` to ``LINES``, one row per line with words.
 
     ``prefix`` leaves out the ``skipped`` words in front that no other line can
-    have, and is empty for all but one of the equal lines of a chunk.
+    have, and is empty for all but one of the equal lines of a chunk. ``low`` and
+    ``high`` are 128 bits, each the parity of how many words fall on it.
     """
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +164,10 @@ def number_lines(classes: bytes):
                 left = np.zeros(len(line), np.int64)
                 first = np.unique(node, return_index=True)[1]
                 left[first] = (size - skipped)[first]
-                columns = [ids[row[line]], tags[row[line]], line_no[line].astype(np.int32), node, other, n.astype(np.int32), skipped.astype(np.int32)]
+                bit = np.uint64(1) << (number & 63).astype(np.uint64)
+                upper = (number & 64) > 0
+                low, high = (np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), begins).view(np.int64) for half in (~upper, upper))
+                columns = [ids[row[line]], tags[row[line]], line_no[line].astype(np.int32), node, other, n.astype(np.int32), skipped.astype(np.int32), low, high]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, columns), lists(number, begins + skipped, left)], schema=LINES_ARROW)
 
     return task

@@ -12,8 +12,9 @@ place in the text) has an equal set, or one with a Jaccard similarity of at leas
 2. Equal sets become one node with its earliest line, combined on the map side.
 3. Two sets of n words that are similar enough share a word among their first
    n - ceil(4n/5) + 1 in that order (prefix filter). Nodes meet by these words;
-   sizes have to fit (length filter), and the rest behind the shared word has to
-   be long enough (positional filter).
+   sizes have to fit (length filter), the rest behind the shared word has to be
+   long enough (positional filter), and 128 bits of both sets must not differ in
+   more places than similar sets have words of their own (bitmap filter).
 4. Pairs that meet by words of at most 32 nodes have to share as many words of
    their prefixes as similarity implies (count filter). A word of more nodes is
    not expanded into pairs: its nodes are compared with their earliest one, twice
@@ -64,13 +65,13 @@ def prefix_length(n: Column) -> Column:
 
 
 def _entries(lines: DataFrame, partitions: int) -> DataFrame:
-    """``word, node, place, n`` for the prefix of each set; dealt by word once, for all that follows.
+    """``word, node, place, n, low, high`` for the prefix of each set; dealt by word once, for all that follows.
 
     Copies of a line are one set by now, so a word has a row per different line.
     """
     known = lines.where(F.size("prefix") > 0)
-    sets = known.groupBy("node", "other").agg(F.first("n").alias("n"), F.first("skipped").alias("skipped"), F.first("prefix").alias("prefix"))
-    entries = sets.select("node", "n", "skipped", F.posexplode("prefix").alias("place", "word"))
+    sets = known.groupBy("node", "other").agg(*[F.first(c).alias(c) for c in ("n", "skipped", "low", "high", "prefix")])
+    entries = sets.select("node", "n", "skipped", "low", "high", F.posexplode("prefix").alias("place", "word"))
     return entries.withColumn("place", F.col("place") + F.col("skipped")).drop("skipped").repartition(partitions, "word")
 
 
@@ -82,29 +83,38 @@ def _with_few(entries: DataFrame) -> DataFrame:
     """
     sizes = entries.groupBy("word").agg(F.count(F.lit(1)).alias("nodes"))
     few = entries.join(sizes.where(F.col("nodes").between(2, FEW)).select("word"), "word", "left_semi")
-    other = few.select("word", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("at"))
+    other = few.select("word", F.struct("node", "n", "place", "low", "high").alias("other"))
+    met = few.join(other, "word").where((F.col("node") < F.col("other.node")) & _fits("", "other."))
+    met = met.select("node", F.col("other.node").alias("b"), "n", F.col("other.n").alias("m"))
     n, m = F.col("n"), F.col("m")
-    met = few.join(other, "word").where((F.col("node") < F.col("b")) & _fits(n, m, F.col("place"), F.col("at")))
     pairs = met.groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("m").alias("m"))
     least = F.ceil(4 * (n + m) / F.lit(9)).cast("int")
     enough = F.least(prefix_length(n) - (n - least), prefix_length(m) - (m - least))
     return pairs.where(F.col("common") >= enough).select("a", "b")
 
 
-def _fits(n: Column, m: Column, i: Column, j: Column) -> Column:
-    """Length filter, and positional filter for a word at places i and j."""
-    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)) >= 4 * (n + m))
+def _fits(one: str, two: str) -> Column:
+    """Length filter, positional filter for a word at both places, and bitmap filter.
+
+    Each bit in which two sets differ stands for a word of its own that one set
+    alone has; similar sets differ in at most a ninth of their words together.
+    """
+    n, m, i, j = F.col(f"{one}n"), F.col(f"{two}n"), F.col(f"{one}place"), F.col(f"{two}place")
+    lengths = 5 * F.least(n, m) >= 4 * F.greatest(n, m)
+    places = 9 * (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)) >= 4 * (n + m)
+    apart = sum((F.bit_count(F.col(f"{one}{half}").bitwiseXOR(F.col(f"{two}{half}"))) for half in ("low", "high")), F.lit(0))
+    return lengths & (9 * apart <= n + m) & places
 
 
 def _with_many(entries: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``word, node, place, n, first`` of the words of many nodes."""
+    """``word, node, place, n, low, high, first`` of the words of many nodes."""
     sizes = entries.groupBy("word").agg(F.count(F.lit(1)).alias("nodes"))
     many = entries.join(sizes.where(F.col("nodes") > FEW).select("word"), "word", "left_semi")
     return many.join(nodes.select("node", "first"), "node")
 
 
 def _early() -> Column:
-    return F.struct("first", "node", "n", "place")
+    return F.struct("first", "node", "n", "place", "low", "high")
 
 
 def _hubs(open_ones: DataFrame, before: DataFrame | None) -> DataFrame:
@@ -116,14 +126,19 @@ def _hubs(open_ones: DataFrame, before: DataFrame | None) -> DataFrame:
 
 
 def _candidates(open_ones: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Pairs of an earlier node ``a`` and an unresolved ``b`` that pass the length and the positional filter."""
+    """Pairs of an earlier node ``a`` and an unresolved ``b`` that pass the filters."""
     met = open_ones.join(hubs, "word").where(F.col("hub.first") < F.col("first"))
-    fits = _fits(F.col("n"), F.col("hub.n"), F.col("place"), F.col("hub.place"))
-    return met.where(fits).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
+    return met.where(_fits("", "hub.")).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs that are similar on whole sets."""
+def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, classes: bytes) -> DataFrame:
+    """Those pairs that are similar on whole sets, which are made of the earliest lines of the nodes in ``pairs`` alone."""
+    pairs = stored(pairs, "pairs")
+    asked = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "first.*")
+    asked = stored(asked.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("line_no", "node")).alias("asked")), "asked")
+    holders = rows.join(asked, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"])
+    bodies = holders.select("text", "asked").mapInArrow(whole_sets(classes), "node long, words array<long>")
+    sets = stored(bodies, "sets")
     found = pairs.join(sets.withColumnsRenamed({"node": "a", "words": "words_a"}), "a")
     found = found.join(sets.withColumnsRenamed({"node": "b", "words": "words_b"}), "b")
     both = F.size(F.array_intersect("words_a", "words_b"))
@@ -143,19 +158,11 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines = stored(rows.select("doc_id", "tag", "text").mapInArrow(number_lines(classes), LINES), "lines")
     nodes = stored(_nodes(lines), "nodes")
     entries = _entries(lines, width(rows))
-    few = stored(_with_few(entries), "pairs")
     members = stored(_with_many(entries, nodes), "members")
 
-    # The whole sets of the nodes that may have a similar one, from their earliest lines.
-    wanted = few.select(F.explode(F.array("a", "b")).alias("node")).unionByName(members.select("node")).distinct()
-    asked = nodes.join(wanted, "node", "left_semi").select("node", "first.*").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("line_no", "node")).alias("asked"))
-    holders = rows.join(stored(asked, "asked"), ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"])
-    bodies = holders.select("text", "asked").mapInArrow(whole_sets(classes), "node long, words array<long>")
-    sets = stored(bodies, "sets")
-
     # Of two similar nodes the one whose first line comes later goes.
     first = nodes.select("node", "first")
-    ordered = _verified(few, sets).join(first.withColumnsRenamed({"node": "a", "first": "first_a"}), "a")
+    ordered = _verified(_with_few(entries), nodes, rows, classes).join(first.withColumnsRenamed({"node": "a", "first": "first_a"}), "a")
     ordered = ordered.join(first.withColumnsRenamed({"node": "b", "first": "first_b"}), "b")
     later_one = F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a"))
     similar_ones = stored(ordered.select(later_one.alias("node")).distinct(), "found")
@@ -167,7 +174,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             hubs = stored(_hubs(open_ones, hubs), "hubs")
         else:
             hubs = members.select("word", _early().alias("hub"))
-        found = stored(_verified(_candidates(open_ones, hubs), sets).select(F.col("b").alias("node")).distinct(), "found")
+        found = stored(_verified(_candidates(open_ones, hubs), nodes, rows, classes).select(F.col("b").alias("node")).distinct(), "found")
         similar_ones = similar_ones.unionByName(found)
         if turn < HUB_ROUNDS:
             open_ones = stored(open_ones.join(found, "node", "left_anti"), "open")
