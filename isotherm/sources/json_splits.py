@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from isotherm.operators.json_records import MALFORMED, MOST_VALUE_BYTES, TOO_LARGE, json_parser
 from isotherm.operators.observations import parse_files
 from isotherm.session import cut_lineage, for_parsers
-from isotherm.sources.splits import SPLIT_BYTES, Read, list_files, ranges, reader
+from isotherm.sources.splits import SPLIT_BYTES, Read, dealt, list_files, ranges, reader
 
 # Executors get the functions by value; they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -296,9 +296,9 @@ def scan_json(spark: SparkSession, path: str | list[str], split_bytes: int = SPL
     chunks = ranges(list_files(spark, path), split_bytes=split_bytes)
     summaries = chunks.select("file_id", "size", "start", "stop").mapInArrow(_summaries, _SUMMARY)
     states = cut_lineage(summaries.groupBy("file_id").applyInArrow(_compose, _STATES))
-    events = states.where("kind = 123").mapInArrow(_keys, _EVENTS)
+    events = dealt(states.where("kind = 123"), split_bytes).mapInArrow(_keys, _EVENTS)
     arrays = events.groupBy("file_id").applyInArrow(_arrays, "file_id string, opening long, closing long, end long")
-    known = states.join(cut_lineage(arrays), "file_id", "left").repartition(max(1, states.rdd.getNumPartitions()), "file_id", "start")
+    known = dealt(states.join(cut_lineage(arrays), "file_id", "left"), split_bytes)
     records = known.mapInArrow(_found, _RECORDS)
     frame = F.expr(f"CASE WHEN at = -2 AND try_parse_json(CAST(record AS STRING)) IS NULL THEN '{MALFORMED}' ELSE failure END")
     records = records.withColumn("failure", frame)
