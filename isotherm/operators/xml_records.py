@@ -92,11 +92,11 @@ def _native(files: DataFrame, record_tag: str) -> DataFrame:
     return with_expressions(read, _settled=f"CASE WHEN format = 'XML' THEN coalesce({settled}, false) END")
 
 
-def _element_children(element) -> list:
+def element_children(element) -> list:
     return [node for node in element.childNodes if node.nodeType == node.ELEMENT_NODE]
 
 
-def _text(element) -> str:
+def element_text(element) -> str:
     """All text below an element, in document order."""
     parts, pending = [], [element]
     while pending:
@@ -108,22 +108,27 @@ def _text(element) -> str:
     return "".join(parts)
 
 
-def read_document(content: bytes) -> list[dict]:
-    """Records of one XML document; raises if it is not well formed."""
+def parse_root(content: bytes):
+    """Root element of one XML document; raises if it is not well formed."""
     from xml.dom import expatbuilder
 
     class Builder(expatbuilder.ExpatBuilder):
         def start_doctype_decl_handler(self, *_):
             raise ValueError("DOCTYPE is not allowed")
 
-    root = Builder().parseString(content).documentElement
-    children = _element_children(root)
+    return Builder().parseString(content).documentElement
+
+
+def read_document(content: bytes) -> list[dict]:
+    """Records of one XML document; raises if it is not well formed."""
+    root = parse_root(content)
+    children = element_children(root)
     if not children:
         return []
-    record_elements = children if any(_element_children(child) for child in children) else [root]
+    record_elements = children if any(element_children(child) for child in children) else [root]
     records = []
     for element in record_elements:
-        found = {node.tagName.lower(): _text(node).strip(TRIMMED) for node in _element_children(element)}
+        found = {node.tagName.lower(): element_text(node).strip(TRIMMED) for node in element_children(element)}
         records.append({field: found.get(field) for field in FIELDS})
     return records
 

@@ -29,6 +29,7 @@ from isotherm.session import scratch_path
 from isotherm.sinks.table import APPEND, CREATE_AND_DEDUPE, create_table, write_outcomes
 from isotherm.sources.files import read_object_files, scan_delimited
 from isotherm.sources.json_splits import scan_json
+from isotherm.sources.xml_splits import scan_xml
 from isotherm.streaming.jobs import TRIM_HORIZON, stream_files, stream_notifications, stream_payloads
 
 OUTCOME_COLUMNS = ["status", "records_processed", "records_written"]
@@ -320,6 +321,27 @@ def json_scan_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.select(_drop_name("file_id").alias("file_name"), *OUTCOME_COLUMNS, "error_message")
 
 
+def _xml_readings(spark: SparkSession, sf_dir: str, flawed: bool = False) -> DataFrame:
+    """XML files, their records found by ranges of 64 KiB, with a tag that is not the expected one; with flaws, those of every fifth user are cut short."""
+    root = scratch_path(spark, "drops")
+    files = t.xml_files(t.observations(spark, sf_dir), tag="Reading").withColumn("drop", F.regexp_replace("object_name", "[/.]", "_"))
+    if flawed:
+        files = files.withColumn("text", F.expr("CASE WHEN user_id % 5 = 0 THEN left(text, length(text) - 1) ELSE text END"))
+    files.select("drop", "text").write.partitionBy("drop").option("lineSep", " ").text(root)
+    return scan_xml(spark, root, split_bytes=1 << 16)
+
+
+def xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = split_file_rows(_xml_readings(spark, sf_dir))
+    return rows.select(_drop_name("file_id").alias("file_name"), *SUMMARY_COLUMNS)
+
+
+def xml_scan_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes = split_file_outcomes(_xml_readings(spark, sf_dir, flawed=True))
+    message = F.substring("error_message", 1, 22).alias("message_start")
+    return outcomes.select(_drop_name("file_id").alias("file_name"), *OUTCOME_COLUMNS, message)
+
+
 def _fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes of notifications of stored files, which the tasks open by name, and of as many that are not there."""
     root = _write_csv_files(spark, sf_dir)
@@ -429,6 +451,8 @@ QUERIES = {
     "delimited_scan_outcomes": delimited_scan_outcomes,
     "json_scan": json_scan,
     "json_scan_outcomes": json_scan_outcomes,
+    "xml_scan": xml_scan,
+    "xml_scan_outcomes": xml_scan_outcomes,
     "fetch_ingest": fetch_ingest,
     "fetch_misses": fetch_misses,
     "stream_files": stream_file_arrivals,

@@ -226,6 +226,15 @@ ORACLE = {
                CASE WHEN user_id % 5 = 0 THEN 0 ELSE count(*) END AS records_written,
                CASE WHEN user_id % 5 = 0 THEN 'Malformed JSON document' END AS error_message
         FROM file_rows GROUP BY user_id, part""",
+    "xml_scan": f"WITH {FILE_ROWS} SELECT replace({DROP_NAME}, '_csv', '_xml') AS file_name, {COLUMNS} FROM file_rows",
+    "xml_scan_outcomes": f"""
+        WITH {FILE_ROWS}
+        SELECT replace({DROP_NAME}, '_csv', '_xml') AS file_name,
+               CASE WHEN user_id % 5 = 0 THEN 'FAILURE' ELSE 'SUCCESS' END AS status,
+               CASE WHEN user_id % 5 = 0 THEN 0 ELSE count(*) END AS records_processed,
+               CASE WHEN user_id % 5 = 0 THEN 0 ELSE count(*) END AS records_written,
+               CASE WHEN user_id % 5 = 0 THEN 'Malformed XML document' END AS message_start
+        FROM file_rows GROUP BY user_id, part""",
     "fetch_ingest": f"WITH {FILE_ROWS} SELECT {DROP_NAME} AS file_name, {COLUMNS} FROM file_rows",
     "fetch_misses": f"""
         WITH {FILE_ROWS}
