@@ -7,7 +7,9 @@ The k-th score is shared: a first round over one shard per query gives every
 query a k-th score, which bounds the search in all shards.
 
 Queries and shards are packed into blocks of fixed size, and each pair of a query
-block and a shard is one row; no group is collected and nothing is broadcast.
+block and a shard is one row; no group is collected, and vectors are never
+broadcast, only the names of the first round's shards, at most one per slot. A
+shard's rows come one after the other, so that its tree is built once per task.
 
 Defined cases: null vectors and vectors with null or non-finite components take
 no part; equal scores go to the smaller id; rows that repeat an id are
@@ -144,6 +146,17 @@ def _each_pair(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[tuple]:
             yield row["block"], *_searched(row, k, tree)
 
 
+def _first_shards(blocks: DataFrame, shards: DataFrame) -> DataFrame:
+    """``blocks`` with one ``shard`` each, dealt over those that are the first of their slot.
+
+    At most one row per slot reaches the driver, whatever the number of shards.
+    """
+    first = shards.groupBy("slot").agg(F.min("shard").alias("shard")).select("shard").collect()
+    offered = blocks.sparkSession.createDataFrame([(n, row["shard"]) for n, row in enumerate(first)], "turn long, shard long")
+    turn = F.pmod(F.xxhash64("block"), F.lit(max(len(first), 1)).cast("long"))
+    return blocks.withColumn("turn", turn).join(offered, "turn").drop("turn")
+
+
 def top_k(rows: DataFrame, is_query: Column, k: int = 5, vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` candidates of highest integer inner product of each query.
 
@@ -169,12 +182,13 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, vector_col: str = "embe
             columns = [np.broadcast_to(query_ids[:, None], best.shape)[found], best_id[found], best[found].astype(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
-    first = shards.groupBy("slot").agg(F.min("shard").alias("shard"))
-    one_each = blocks.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots))).join(first, "slot").drop("slot")
-    kth = one_each.join(shards.drop("slot"), "shard").mapInArrow(first_round, "block long, kth array<double>")
-    bounded = stored(blocks.join(kth, "block", "left"), "bounds")
-    pairs = bounded.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long")))).join(shards, "slot")
-    found = pairs.mapInArrow(all_shards, "query_id long, vec_id long, score long")
+    # A merge join gives all rows of one row on its left before the next one's.
+    merged = shards.hint("merge")
+    one_each = merged.drop("slot").join(_first_shards(blocks, shards), "shard")
+    kth = one_each.mapInArrow(first_round, "block long, kth array<double>")
+    bounded = stored(blocks.hint("merge").join(kth, "block"), "bounds")
+    asking = bounded.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
+    found = merged.join(asking, "slot").mapInArrow(all_shards, "query_id long, vec_id long, score long")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

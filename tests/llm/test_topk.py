@@ -57,3 +57,37 @@ def test_search_skips_leaves(monkeypatch):
     tree.search(queries, np.full(20, -1), best, best_id)
     assert np.allclose(best, -np.sort(-(queries @ vectors.T), 1)[:, :5])
     assert sum(seen) < 0.3 * 20 * 8000
+
+
+@pytest.mark.parametrize(("n_shards", "slots"), [(3, 200), (320, 16), (1, 1)])
+def test_every_block_has_a_first_shard(spark, n_shards, slots):
+    ids = spark.range(n_shards).select((F.col("id") * 8589934592).alias("shard"))
+    shards = ids.withColumn("slot", F.pmod(F.xxhash64("shard"), F.lit(slots)))
+    blocks = spark.range(50).select(F.col("id").alias("block"))
+    dealt = topk._first_shards(blocks, shards).collect()
+    assert sorted(r.block for r in dealt) == list(range(50))
+    assert {r.shard for r in dealt} <= {r.shard for r in ids.collect()}
+
+
+def test_one_tree_per_shard_and_task(spark, monkeypatch, tmp_path):
+    """With many shards in few slots, no task builds the tree of a shard twice."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 16)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 4)
+    monkeypatch.setattr(topk, "width", lambda rows: 1)
+    log = str(tmp_path / "trees")
+
+    class Logged(topk.BallTree):
+        def __init__(self, vectors, ids):
+            with open(log, "a") as out:
+                out.write(f"{ids.tolist()}\n")
+            super().__init__(vectors, ids)
+
+    monkeypatch.setattr(topk, "BallTree", Logged)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 0.3, 6).tolist()) for i in range(320)]
+    got = shown(topk.top_k(frame(spark, rows).repartition(2), F.col("vec_id") % 5 == 0))
+    assert got == brute(rows, 5, lambda i: i % 5 == 0)
+    with open(log) as built:
+        trees = built.read().splitlines()
+    # Once in the round over one shard per block, once in the round over all.
+    assert trees and max(trees.count(x) for x in trees) <= 2
