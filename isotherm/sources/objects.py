@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import sys
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isotherm.functions.location import bucket_name
@@ -21,8 +22,13 @@ WAITS_SECONDS = (1.0, 2.0)
 NOT_FOUND = "not found"
 # --------------------------------------------------------------------------
 
+#: Bytes in flight or in a batch at most, unless one object alone has more.
 BATCH_BYTES = 64 << 20
+READERS = 8
 OBJECTS_PER_TASK = 1000
+TASK_BYTES = 64 << 20
+#: Opening an object counts for as many bytes as reading these.
+OPEN_BYTES = 64 << 10
 
 # Executors get the functions by value; they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -56,14 +62,98 @@ def _read_bytes(store, root: str, name: str) -> bytes:
         return stream.read()
 
 
+def _stores(location: str) -> Callable:
+    """``bucket`` to its store and root, each made once."""
+    from pyarrow import fs
+
+    made = {}
+
+    def store(bucket: str):
+        if bucket not in made:
+            made[bucket] = fs.FileSystem.from_uri(location.format(bucket=bucket))
+        return made[bucket]
+
+    return store
+
+
+def _size(store, root: str, name: str) -> int | None:
+    """Size of an object below ``root``; None if there is none."""
+    from pyarrow import fs
+
+    if ".." in name.split("/"):
+        return None
+    info = retry(partial(store.get_file_info, f"{root.rstrip('/')}/{name}"))
+    return None if info.type == fs.FileType.NotFound else info.size or 0
+
+
+def packed(sizes: Iterable[int | None], task_bytes: int) -> Iterator[int]:
+    """Bins of about ``task_bytes``, numbered from 0, in the order of the objects; none holds more unless one object does."""
+    number, held = 0, 0
+    for size in sizes:
+        cost = (size or 0) + OPEN_BYTES
+        if held and held + cost > task_bytes:
+            number, held = number + 1, 0
+        held += cost
+        yield number
+
+
+def with_sizes(wanted: DataFrame, location: str, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Add ``size`` (NULL: no such object), ``read_error``, and ``bin``, the task in which to read it; opens nothing."""
+    kinds = {"bucket_url": pa.string(), "object_name": pa.string(), "bucket": pa.string(), "size": pa.int64(), "read_error": pa.string(), "bin": pa.int64()}
+    schema = pa.schema(list(kinds.items()))
+
+    def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, rows = _stores(location), []
+
+        def size(row: dict) -> tuple[int | None, str | None]:
+            try:
+                found = _size(*store(row["bucket"]), row["object_name"])
+            except OSError as failure:
+                return None, str(failure)
+            return found, NOT_FOUND if found is None else None
+
+        with ThreadPoolExecutor(READERS) as pool:
+            for batch in batches:
+                part = batch.to_pylist()
+                for bucket in {row["bucket"] for row in part}:
+                    store(bucket)
+                rows += [{**row, "size": n, "read_error": error} for row, (n, error) in zip(part, pool.map(size, part), strict=True)]
+        if rows:  # names of one task, about OBJECTS_PER_TASK
+            bins = packed((row["size"] for row in rows), task_bytes)
+            yield pa.RecordBatch.from_pylist([{**row, "bin": n} for row, n in zip(rows, bins, strict=True)], schema=schema)
+
+    ddl = "bucket_url string, object_name string, bucket string, size long, read_error string, bin long"
+    sized = cut_lineage(wanted.mapInArrow(look, ddl).withColumn("part", F.spark_partition_id()))
+    # Bins of all tasks in one count: a row per task.
+    before = F.sum("bins").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = sized.groupBy("part").agg((F.max("bin") + 1).alias("bins"))
+    places = parts.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    return sized.join(places, "part").withColumn("bin", F.col("bin") + F.col("before")).drop("part", "before")
+
+
+def _windows(rows: Iterable[dict]) -> Iterator[list[dict]]:
+    """Rows in groups whose objects have ``BATCH_BYTES`` at most, or of one object."""
+    held, size = [], 0
+    for row in rows:
+        if held and size + (row["size"] or 0) > BATCH_BYTES:
+            yield held
+            held, size = [], 0
+        held.append(row)
+        size += row["size"] or 0
+    if held:
+        yield held
+
+
 def fetch_objects(
-    names: DataFrame, location: str = "s3://{bucket}", objects_per_task: int = OBJECTS_PER_TASK
+    names: DataFrame, location: str = "s3://{bucket}", objects_per_task: int = OBJECTS_PER_TASK, task_bytes: int = TASK_BYTES
 ) -> DataFrame:
     """Open each named object once and return its bytes.
 
     ``location`` is the URI of a bucket's root on any file system Arrow knows.
     ``names`` has ``bucket_url, object_name``; repeats are removed. The work
-    grows with the objects named, not with the size of the store. An object
+    grows with the objects named, not with the size of the store. Sizes are
+    listed first, so that each task reads about ``task_bytes``; it has several
+    objects in flight, of ``BATCH_BYTES`` together, or a larger one alone. An object
     that does not exist is not retried; any other error is, twice. The result
     has ``bucket_url, object_name, content, read_error``: an object that the
     store refused has no content but an error, so that it can be reported.
@@ -72,44 +162,34 @@ def fetch_objects(
     keys = ["bucket_url", "object_name"]
     wanted = cut_lineage(names.select(*keys).distinct())
     # The names are few bytes, the objects many: a number of tasks by the names
-    # keeps adaptive execution from fetching them all in one.
+    # keeps adaptive execution from listing them all in one.
     least = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(least, -(-wanted.count() // objects_per_task))
-    target = wanted.repartition(tasks, *keys).withColumn("bucket", bucket_name(F.col("bucket_url")))
-    schema = pa.schema(
-        [
-            ("bucket_url", pa.string()),
-            ("object_name", pa.string()),
-            ("content", pa.binary()),
-            ("read_error", pa.string()),
-        ]
-    )
-
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        rows, size, roots = [], 0, {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                bucket = row.pop("bucket")
-                if bucket not in roots:
-                    roots[bucket] = fs.FileSystem.from_uri(location.format(bucket=bucket))
-                store, root = roots[bucket]
-                content, error = None, None
-                try:
-                    content = retry(partial(_read_bytes, store, root, row["object_name"]), final=(FileNotFoundError,))
-                except FileNotFoundError:
-                    error = NOT_FOUND
-                except OSError as failure:
-                    error = str(failure)
-                rows.append({**row, "content": content, "read_error": error})
-                size += len(content or b"")
-                if size >= BATCH_BYTES:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                    rows, size = [], 0
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    return target.mapInArrow(
-        fetch, "bucket_url string, object_name string, content binary, read_error string"
-    )
+    target = wanted.repartition(tasks, *keys).select(*keys, bucket_name(F.col("bucket_url")).alias("bucket"))
+    sized = cut_lineage(with_sizes(target, location, task_bytes))
+    bins = (sized.agg(F.max("bin").alias("last")).first()["last"] or 0) + 1
+    dealt = sized.repartitionById(bins, F.col("bin").cast("int"))
+    kinds = {"bucket_url": pa.string(), "object_name": pa.string(), "content": pa.binary(), "read_error": pa.string()}
+    schema = pa.schema(list(kinds.items()))
+
+    def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = _stores(location)
+
+        def read(row: dict) -> dict:
+            content, error = None, row["read_error"]
+            try:
+                if error is None:
+                    content = retry(partial(_read_bytes, *store(row["bucket"]), row["object_name"]), final=(FileNotFoundError,))
+            except FileNotFoundError:
+                error = NOT_FOUND
+            except OSError as failure:
+                error = str(failure)
+            return {"bucket_url": row["bucket_url"], "object_name": row["object_name"], "content": content, "read_error": error}
+
+        with ThreadPoolExecutor(READERS) as pool:
+            for rows in _windows(row for batch in batches for row in batch.to_pylist()):
+                for bucket in {row["bucket"] for row in rows}:
+                    store(bucket)
+                yield pa.RecordBatch.from_pylist(list(pool.map(read, rows)), schema=schema)
+
+    return dealt.mapInArrow(fetch, "bucket_url string, object_name string, content binary, read_error string")

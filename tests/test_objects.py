@@ -131,3 +131,33 @@ SKEW = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
 }
+
+
+def test_even_tasks(spark, tmp):
+    """One large object and many small ones: no task reads much more than it should, unless it reads one object."""
+    os.makedirs(f"{tmp}/in")
+    sizes = {f"o{i}": 30_000 if i % 7 else 90_000 for i in range(120)} | {"large": 3_000_000, "empty": 0}
+    for name, size in sizes.items():
+        with open(f"{tmp}/in/{name}", "wb") as out:
+            out.write(b"x" * size)
+    names = spark.createDataFrame([("s3://in", n) for n in [*sizes, "gone"]], "bucket_url string, object_name string")
+    fetched = objects.fetch_objects(names, f"file://{tmp}/{{bucket}}", task_bytes=1_000_000)
+    rows = fetched.select("object_name", F.length("content").alias("n"), "read_error", F.spark_partition_id().alias("task")).collect()
+    assert {r.object_name: r.n for r in rows} == sizes | {"gone": None}
+    assert [r.object_name for r in rows if r.read_error] == ["gone"]
+    tasks = {}
+    for r in rows:
+        tasks.setdefault(r.task, []).append((r.n or 0) + objects.OPEN_BYTES)
+    assert all(sum(costs) <= 1_000_000 or len(costs) == 1 for costs in tasks.values())
+    assert len(tasks) <= 2 * sum(map(sum, tasks.values())) / 1_000_000 + 4
+
+
+def test_bytes_in_flight(monkeypatch):
+    monkeypatch.setattr(objects, "BATCH_BYTES", 100)
+    sizes = [40, 60, 1, 500, 99, None, 1, 1]
+    assert [[r["size"] for r in w] for w in objects._windows({"size": n} for n in sizes)] == [[40, 60], [1], [500], [99, None, 1], [1]]
+
+
+def test_no_names(spark, tmp):
+    names = spark.createDataFrame([], "bucket_url string, object_name string")
+    assert objects.fetch_objects(names, f"file://{tmp}/{{bucket}}").collect() == []
