@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from isotherm.operators.json_records import MALFORMED, MOST_VALUE_BYTES, TOO_LARGE, json_parser
 from isotherm.operators.observations import parse_files
 from isotherm.session import cut_lineage, for_parsers
-from isotherm.sources.splits import SPLIT_BYTES, Read, dealt, list_files, ranges, reader
+from isotherm.sources.splits import SPLIT_BYTES, Read, dealt, in_batches, list_files, per_file, ranges, reader
 
 # Executors get the functions by value; they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -126,10 +126,10 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (f.split(" ") for f in ddl.split(", "))])
 
 
-def _compose(chunks: pa.Table) -> pa.Table:
+def _compose(chunks: list[dict]) -> Iterator[dict]:
     """States at the starts of one file's chunks, up to the one in which the root ends."""
     out, state, depth, root, kind, valid = [], 0, 0, None, None, True
-    for row in chunks.sort_by("start").to_pylist():
+    for row in chunks:
         valid &= row["valid"]
         if kind == -1:
             continue
@@ -142,9 +142,8 @@ def _compose(chunks: pa.Table) -> pa.Table:
                 kind = -1
         state, depth = row["ends"][state], depth + row["delta"][state]
     if not out:
-        first = chunks.slice(0, 1).to_pylist()[0]
-        out = [{"file_id": first["file_id"], "size": first["size"], "start": 0, "stop": 0, "root": None, "kind": 0}]
-    return pa.Table.from_pylist([{**row, "valid": valid} for row in out], schema=_schema(_STATES))
+        out = [{"file_id": chunks[0]["file_id"], "size": chunks[0]["size"], "start": 0, "stop": 0, "root": None, "kind": 0}]
+    return ({**row, "valid": valid} for row in out)
 
 
 # --- records ------------------------------------------------------------------
@@ -200,7 +199,10 @@ def elements(read: Read, row: dict, level: int, opening: int, closing: int | Non
 
 def _keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task over chunks of root objects: where arrays ``records`` open, where depth falls back to 1, and where the root ends."""
-    schema = _schema(_EVENTS)
+    return in_batches(_key_rows(batches), _schema(_EVENTS))
+
+
+def _key_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
         for row in batch.to_pylist():
             read, start = reader(row["file_id"]), row["start"]
@@ -226,11 +228,11 @@ def _keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         events.append((value[0], value[1] == b"[", closed))
                 found = text.find(RECORDS, found + 1)
             least = int(falls[0]) if len(falls) else None
-            rows = [(row["file_id"], start, row["root"], at_, is_array, closed, None, None) for at_, is_array, closed in events]
-            rows.append((row["file_id"], start, row["root"], None, None, None, least, end))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            yield from ((row["file_id"], start, row["root"], at_, is_array, closed, None, None) for at_, is_array, closed in events)
+            yield row["file_id"], start, row["root"], None, None, None, least, end
 
 
+_ARRAYS = "file_id string, opening long, closing long, end long"
 _EVENTS = "file_id string, start long, root long, opening long, is_array boolean, closed long, fall long, end long"
 
 
@@ -244,9 +246,8 @@ def _after_space(read: Read, at: int, size: int) -> tuple[int, bytes]:
     return size, b""
 
 
-def _arrays(events: pa.Table) -> pa.Table:
+def _arrays(rows: list[dict]) -> Iterator[dict]:
     """``file_id, opening, closing, end`` of one file: the array ``records`` that counts, if there is one."""
-    rows = events.sort_by("start").to_pylist()
     end = next((r["end"] for r in rows if r["end"] is not None), None)
     named = [r for r in rows if r["opening"] is not None and (end is None or r["opening"] < end)]
     last = max(named, key=lambda r: r["opening"], default=None)
@@ -254,12 +255,15 @@ def _arrays(events: pa.Table) -> pa.Table:
     if last and last["is_array"]:
         opening = last["opening"]
         closing = last["closed"] or next((r["fall"] for r in rows if r["fall"] is not None and r["fall"] > opening), None)
-    columns = {"file_id": [rows[0]["file_id"]], "opening": [opening], "closing": [closing], "end": [end]}
-    return pa.table(columns, schema=_schema("file_id string, opening long, closing long, end long"))
+    yield {"file_id": rows[0]["file_id"], "opening": opening, "closing": closing, "end": end}
 
 
 def _found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task over chunks with what is known of their files: records, failures, and frames around ``records``."""
+    return in_batches(_found_rows(batches), _schema(_RECORDS))
+
+
+def _found_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
         for row in batch.to_pylist():
             read, here, out = reader(row["file_id"]), row["root"] is not None and row["start"] <= row["root"] < row["stop"], []
@@ -281,9 +285,7 @@ def _found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out = [(-1, None, TOO_LARGE)]
                 elif here:
                     out.append((-2, read(row["root"], row["opening"] + 1) + read(row["closing"], row["end"] + 1), None))
-            rows = [(row["file_id"], *x) for x in out]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _schema(_RECORDS), strict=True)], schema=_schema(_RECORDS))
+            yield from ((row["file_id"], *x) for x in out)
 
 
 def scan_json(spark: SparkSession, path: str | list[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
@@ -295,9 +297,9 @@ def scan_json(spark: SparkSession, path: str | list[str], split_bytes: int = SPL
     for_parsers(spark)
     chunks = ranges(list_files(spark, path), split_bytes=split_bytes)
     summaries = chunks.select("file_id", "size", "start", "stop").mapInArrow(_summaries, _SUMMARY)
-    states = cut_lineage(summaries.groupBy("file_id").applyInArrow(_compose, _STATES))
+    states = cut_lineage(per_file(summaries, _compose, _STATES, _schema(_STATES)))
     events = dealt(states.where("kind = 123"), split_bytes).mapInArrow(_keys, _EVENTS)
-    arrays = events.groupBy("file_id").applyInArrow(_arrays, "file_id string, opening long, closing long, end long")
+    arrays = per_file(events, _arrays, _ARRAYS, _schema(_ARRAYS))
     known = dealt(states.join(cut_lineage(arrays), "file_id", "left"), split_bytes)
     records = known.mapInArrow(_found, _RECORDS)
     frame = F.expr(f"CASE WHEN at = -2 AND try_parse_json(CAST(record AS STRING)) IS NULL THEN '{MALFORMED}' ELSE failure END")
