@@ -252,3 +252,12 @@ def test_misses_are_logged_without_a_path(spark, tmp, caplog):
     stream_notifications(spark, f"{tmp}/in", name, f"{tmp}/check", location=f"file://{tmp}", position="TRIM_HORIZON", available_now=True).awaitTermination()
     said = [r.getMessage() for r in caplog.records if r.name == "isotherm"]
     assert said == ["batch 0: 1 messages that are no notifications", "batch 0: 1 notifications whose object could not be read"]
+
+
+def test_a_batch_of_many_files_is_few_tasks(spark, tmp):
+    """Spark takes the smallest file for 4 MiB of work; a scan of many has a bounded number of tasks, and the same rows."""
+    from isotherm.sources.splits import LEAST_TASKS, few_tasks
+
+    many = spark.range(0, 1000, 1, 1000)
+    assert few_tasks(many).rdd.getNumPartitions() == LEAST_TASKS
+    assert few_tasks(many).count() == 1000 and few_tasks(spark.range(0, 10, 1, 3)).rdd.getNumPartitions() == 3
