@@ -26,6 +26,8 @@ NOT_FOUND = "not found"
 BATCH_BYTES = 64 << 20
 READERS = 8
 OBJECTS_PER_TASK = 1000
+#: What a reader gets at a time at most, unless one object alone has more bytes.
+GROUP_OBJECTS, GROUP_BYTES = 32, 1 << 20
 TASK_BYTES = 64 << 20
 #: Opening an object counts for as many bytes as reading these.
 OPEN_BYTES = 64 << 10
@@ -76,14 +78,44 @@ def _stores(location: str) -> Callable:
     return store
 
 
-def _size(store, root: str, name: str) -> int | None:
-    """Size of an object below ``root``; None if there is none."""
+def _sizes(store, root: str, names: Sequence[str]) -> list[tuple[int | None, str | None]]:
+    """Size and error of each object below ``root``, in one call of the store; asked for one by one if that fails."""
     from pyarrow import fs
 
-    if ".." in name.split("/"):
-        return None
-    info = retry(partial(store.get_file_info, f"{root.rstrip('/')}/{name}"))
-    return None if info.type == fs.FileType.NotFound else info.size or 0
+    def size(info) -> tuple[int | None, str | None]:
+        return (None, NOT_FOUND) if info.type == fs.FileType.NotFound else (info.size or 0, None)
+
+    def alone(name: str) -> tuple[int | None, str | None]:
+        try:
+            return size(retry(partial(store.get_file_info, paths[name])))
+        except OSError as failure:
+            return None, str(failure)
+
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in names if ".." not in name.split("/")}
+    try:
+        found = dict(zip(paths, map(size, store.get_file_info(list(paths.values()))), strict=True))
+    except Exception:  # alone() tells refusals from other failures
+        found = {name: alone(name) for name in paths}
+    return [found.get(name, (None, NOT_FOUND)) for name in names]
+
+
+def grouped(rows: Sequence[dict], least: int = 4 * READERS) -> Iterator[list[dict]]:
+    """``rows`` in order as groups for the readers: small objects together, as a thread's turn costs more than opening a local file.
+
+    At least ``least`` groups if there are as many rows; none has more than
+    ``GROUP_OBJECTS`` or ``GROUP_BYTES`` unless one object has more bytes.
+    """
+    most = max(1, min(GROUP_OBJECTS, len(rows) // least))
+    held, size = [], 0
+    for row in rows:
+        more = row.get("size") or 0
+        if held and (len(held) == most or size + more > GROUP_BYTES):
+            yield held
+            held, size = [], 0
+        held.append(row)
+        size += more
+    if held:
+        yield held
 
 
 def packed(sizes: Iterable[int | None], task_bytes: int) -> Iterator[int]:
@@ -105,19 +137,20 @@ def with_sizes(wanted: DataFrame, location: str, task_bytes: int = TASK_BYTES) -
     def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, rows = _stores(location), []
 
-        def size(row: dict) -> tuple[int | None, str | None]:
-            try:
-                found = _size(*store(row["bucket"]), row["object_name"])
-            except OSError as failure:
-                return None, str(failure)
-            return found, NOT_FOUND if found is None else None
+        def sizes(part: list[dict]) -> list[dict]:
+            found = {}
+            for bucket in {row["bucket"] for row in part}:
+                names = [row["object_name"] for row in part if row["bucket"] == bucket]
+                found.update({(bucket, name): x for name, x in zip(names, _sizes(*store(bucket), names), strict=True)})
+            looked = (found[row["bucket"], row["object_name"]] for row in part)
+            return [{**row, "size": n, "read_error": error} for row, (n, error) in zip(part, looked, strict=True)]
 
         with ThreadPoolExecutor(READERS) as pool:
             for batch in batches:
                 part = batch.to_pylist()
                 for bucket in {row["bucket"] for row in part}:
                     store(bucket)
-                rows += [{**row, "size": n, "read_error": error} for row, (n, error) in zip(part, pool.map(size, part), strict=True)]
+                rows += [row for group in pool.map(sizes, grouped(part)) for row in group]
         if rows:  # names of one task, about OBJECTS_PER_TASK
             bins = packed((row["size"] for row in rows), task_bytes)
             yield pa.RecordBatch.from_pylist([{**row, "bin": n} for row, n in zip(rows, bins, strict=True)], schema=schema)
@@ -190,6 +223,7 @@ def fetch_objects(
             for rows in _windows(row for batch in batches for row in batch.to_pylist()):
                 for bucket in {row["bucket"] for row in rows}:
                     store(bucket)
-                yield pa.RecordBatch.from_pylist(list(pool.map(read, rows)), schema=schema)
+                parts = pool.map(lambda group: [read(row) for row in group], grouped(rows))
+                yield pa.RecordBatch.from_pylist([row for part in parts for row in part], schema=schema)
 
     return dealt.mapInArrow(fetch, "bucket_url string, object_name string, content binary, read_error string")

@@ -1,8 +1,10 @@
 import os
 
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
 
+import isotherm.queries.catalog as catalog
 import isotherm.sources.objects as objects
 from isotherm import ingest_notifications, missing_objects, notification_misses, notification_outcomes, read_objects
 from isotherm.operators.lookup import notified_objects
@@ -161,3 +163,52 @@ def test_bytes_in_flight(monkeypatch):
 def test_no_names(spark, tmp):
     names = spark.createDataFrame([], "bucket_url string, object_name string")
     assert objects.fetch_objects(names, f"file://{tmp}/{{bucket}}").collect() == []
+
+
+class CountingStore:
+    """A store in a dict that counts its calls; it fails for lists with a bad name and, alone, for the bad name."""
+
+    def __init__(self, sizes):
+        self.sizes, self.calls = sizes, 0
+
+    def get_file_info(self, paths):
+        self.calls += 1
+        if "/r/bad" in paths:
+            raise OSError("refused")
+        infos = [fs.FileInfo(p, fs.FileType.File if p in self.sizes else fs.FileType.NotFound, size=self.sizes.get(p, -1)) for p in ([paths] if isinstance(paths, str) else paths)]
+        return infos[0] if isinstance(paths, str) else infos
+
+
+def test_sizes_of_many_names_take_one_call(monkeypatch):
+    store = CountingStore({f"/r/o{i}": i for i in range(20)})
+    names = ["o3", "gone", "../o4", "o3", *[f"o{i}" for i in range(20)]]
+    got = objects._sizes(store, "/r/", names)
+    assert got == [(3, None), (None, objects.NOT_FOUND), (None, objects.NOT_FOUND), (3, None), *[(i, None) for i in range(20)]]
+    assert store.calls == 1
+    monkeypatch.setattr(objects.retry, "__defaults__", (objects.ATTEMPTS, (0.0, 0.0), (), lambda seconds: None))
+    assert objects._sizes(store, "/r", ["o3", "bad", "gone"]) == [(3, None), (None, "refused"), (None, objects.NOT_FOUND)]
+
+
+def test_readers_get_small_objects_in_groups():
+    def sizes(*of):
+        return [[r["size"] for r in g] for g in objects.grouped([{"size": n} for n in of])]
+
+    assert sizes() == [] and sizes(5, None, 7) == [[5], [None], [7]]
+    many = sizes(*range(1000))
+    assert [n for g in many for n in g] == list(range(1000))
+    assert len(many) <= 40 and max(map(len, many)) <= objects.GROUP_OBJECTS
+    large = objects.GROUP_BYTES
+    mixed = sizes(*[large, 1, large - 1, 1] * 32)
+    assert all(sum(g) <= large for g in mixed) and sum(map(len, mixed)) == 128
+
+
+def test_files_of_the_fetch_queries_are_listed_once(spark, monkeypatch):
+    listed = []
+    monkeypatch.setattr(catalog, "read_object_files", lambda *a, **k: listed.append(1) or read_object_files(*a, **k))
+    plans = []
+    monkeypatch.setattr(catalog, "notification_outcomes", lambda named, **k: plans.append(named._jdf.queryExecution().executedPlan().toString()) or named)
+    sf_dir = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    named = catalog._fetch(spark, sf_dir)
+    keys = [r.value for r in named.collect()]
+    assert plans[0].count("FileScan binaryFile") == 1 and len(listed) == 1
+    assert len(keys) == len(set(keys)) and sorted(k.replace("part-", "gone-") for k in keys if "part-" in k) == sorted(k for k in keys if "part-" not in k)
