@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Hashable, Iterable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -100,3 +102,28 @@ def per_process(key: Hashable, make: Callable):
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def lean(task: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """``task`` for a worker that may have served other operators and lives on for more of them.
+
+    What they have kept by ``per_process`` goes before it starts, and memory that
+    is free, but still held by the allocators, goes back to the system at either end.
+    """
+
+    def run(batches: Iterable) -> Iterator:
+        sys.__dict__.get("_isotherm_llm", {}).clear()
+        give_back()
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Free memory of Arrow's pool and of the C library to the system, where that can be done."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.frames import texts
+from isotherm.llm.frames import lean, texts
 from isotherm.session import configure
 
 WINDOW, EMBEDDING, FILTERS, WIDTHS = 128, 8, 16, (2, 3, 4)
@@ -194,7 +194,7 @@ def train(docs: DataFrame, most_docs: int = TRAIN_DOCS, per_doc: int = TRAIN_WIN
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(data, pa.binary())], schema=schema)
 
     sample = training_sample(docs, most_docs).select("doc_id", "text", "lang")
-    rows = sample.mapInArrow(task, "lang string, data binary").toArrow().sort_by([("lang", "ascending"), ("data", "ascending")])
+    rows = sample.mapInArrow(lean(task), "lang string, data binary").toArrow().sort_by([("lang", "ascending"), ("data", "ascending")])
     if not rows.num_rows:
         return None
     languages = sorted(set(rows["lang"].to_pylist()))
@@ -244,7 +244,7 @@ def identify(docs: DataFrame, network: ByteNetwork | None, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     rows = texts(docs, id_col=id_col, text_col=text_col)
-    return rows.mapInArrow(task, "doc_id long, lang_pred string, score double")
+    return rows.mapInArrow(lean(task), "doc_id long, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame, network: ByteNetwork | None, least_score: float, text_col: str = "text") -> DataFrame:
@@ -261,4 +261,4 @@ def keep_known(docs: DataFrame, network: ByteNetwork | None, least_score: float,
             yield batch.filter(pa.array([score is not None and score >= least_score for score in found], pa.bool_()))
 
     configure(docs.sparkSession)
-    return docs.mapInArrow(task, docs.schema)
+    return docs.mapInArrow(lean(task), docs.schema)

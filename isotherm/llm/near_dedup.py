@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.llm.components import connected
-from isotherm.llm.frames import stored, texts
+from isotherm.llm.frames import lean, stored, texts
 from isotherm.llm.repeats import NO_ID, PolynomialHash, mixed
 
 BANDS, PER_BAND, BITS = 32, 4, 4
@@ -275,7 +275,7 @@ def _components(docs: DataFrame, words: int, similarity: int, id_col: str, text_
     rows = texts(docs, id_col=id_col, text_col=text_col)
     rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
     ddl = "doc_id long, tag long, n_shingles long, node binary, buckets array<long>, signature array<long>"
-    signed = stored(rows.mapInArrow(sign(words), ddl), "signatures")
+    signed = stored(rows.mapInArrow(lean(sign(words)), ddl), "signatures")
     sets = signed.where("n_shingles > 0")
 
     banded = sets.select("node", "n_shingles", F.explode("buckets").alias("bucket"))
@@ -351,4 +351,4 @@ def _links(pairs: DataFrame, bodies: DataFrame, words: int, similarity: int) ->
     found = bodies.select("node", "text")
     paired = likely.join(found.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
     paired = paired.join(found.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
-    return paired.select("a", "b", "text_a", "text_b").mapInArrow(confirm(words, similarity), "a binary, b binary")
+    return paired.select("a", "b", "text_a", "text_b").mapInArrow(lean(confirm(words, similarity)), "a binary, b binary")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.frames import once_each, stored, texts, width
+from isotherm.llm.frames import lean, once_each, stored, texts, width
 
 LENGTH, GRAM, LETTER = 200, 64, 40
 #: Bytes of a text that are hashed at once, and starts that a run has at most; longer ones are cut.
@@ -346,7 +346,7 @@ def _texts_by_key(docs: DataFrame, id_col: str, text_col: str, carry: list[str])
 def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, letter: int = LETTER) -> DataFrame:
     """``doc_id, tag, first, starts``: places where repeated strings start; ``rows`` has each ``doc_id, tag, text`` once."""
     ddl = "key long, content long, doc_id long, tag long, first long, starts int, weight int"
-    runs = stored(rows.select("doc_id", "text", "tag").mapInArrow(scan_runs(length, gram), ddl), "runs")
+    runs = stored(rows.select("doc_id", "text", "tag").mapInArrow(lean(scan_runs(length, gram)), ddl), "runs")
     shared = runs.groupBy("key").agg(F.sum("weight").alias("weight")).where("weight > 1").select("key")
     candidates = stored(runs.drop("weight").join(shared, "key", "left_semi"), "candidates")
     place = F.struct("doc_id", "tag", "first", "starts")
@@ -362,14 +362,14 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, lett
     def sliced(large: bool) -> DataFrame:
         own = F.filter("runs", lambda r: r["large"] == large)
         found = placed.withColumn("runs", own).where(F.size("runs") > 0).select("doc_id", "tag", "text", "runs")
-        return found.mapInArrow(slice_runs(length), "key long, doc_id long, tag long, first long, copies long, data binary")
+        return found.mapInArrow(lean(slice_runs(length)), "key long, doc_id long, tag long, first long, copies long, data binary")
 
     dealt = sliced(False).repartition(width(rows), "key").sortWithinPartitions("key", "doc_id", "tag", "first")
-    merged = dealt.mapInArrow(merge_runs(length, letter), "doc_id long, tag long, first long, starts int")
+    merged = dealt.mapInArrow(lean(merge_runs(length, letter)), "doc_id long, tag long, first long, starts int")
     found = settled.select("doc_id", "tag", "first", "starts").unionByName(merged)
     if open_keys.where("large").isEmpty():
         return found
-    hashed = stored(sliced(True).mapInArrow(hash_starts(length), "high long, low long, doc_id long, tag long, first long, copies long"), "starts")
+    hashed = stored(sliced(True).mapInArrow(lean(hash_starts(length)), "high long, low long, doc_id long, tag long, first long, copies long"), "starts")
     twice = hashed.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("high", "low")
     rest = hashed.where("copies < 2").join(twice, ["high", "low"], "left_semi")
     return found.unionByName(rest.select("doc_id", "tag", "first", F.lit(1).alias("starts")))
@@ -427,5 +427,5 @@ def cut_repeats(
 
     marked = rows.join(by_doc, ["doc_id", "tag"], "left").select("doc_id", "text", "first", "starts", *carried)
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    cut = marked.mapInArrow(task, ddl + "".join(f", carried {marked.schema[c].dataType.simpleString()}" for c in carried))
+    cut = marked.mapInArrow(lean(task), ddl + "".join(f", carried {marked.schema[c].dataType.simpleString()}" for c in carried))
     return cut.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
