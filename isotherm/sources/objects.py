@@ -25,12 +25,15 @@ NOT_FOUND = "not found"
 #: Bytes in flight or in a batch at most, unless one object alone has more.
 BATCH_BYTES = 64 << 20
 READERS = 8
-OBJECTS_PER_TASK = 1000
+#: A task of its own costs as much as asking a near store for thousands of objects.
+OBJECTS_PER_TASK = 4000
 #: What a reader gets at a time at most, unless one object alone has more bytes.
 GROUP_OBJECTS, GROUP_BYTES = 32, 1 << 20
 TASK_BYTES = 64 << 20
 #: Opening an object counts for as many bytes as reading these.
-OPEN_BYTES = 64 << 10
+OPEN_BYTES = 16 << 10
+#: Objects that take less are read one after the other, if there are many; the first few of a window show it.
+SOON_SECONDS, FIRST_FEW, MANY = 0.002, 4, 32 * READERS
 
 # Executors get the functions by value; they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -118,6 +121,25 @@ def grouped(rows: Sequence[dict], least: int = 4 * READERS) -> Iterator[list[dic
         yield held
 
 
+def in_turns(pool: ThreadPoolExecutor, work: Callable[[list[dict]], list], rows: Sequence[dict]) -> Iterator[list]:
+    """``work`` over ``rows`` in groups, in their order: side by side in ``pool``, or in this thread as long as an object takes less than ``SOON_SECONDS``.
+
+    A near store answers sooner than threads hand over the interpreter to each other.
+    """
+    groups = list(grouped(rows))
+    soon = len(rows) >= MANY
+    if soon:
+        groups[:1] = [group for group in (groups[0][:FIRST_FEW], groups[0][FIRST_FEW:]) if group]
+    at = 0
+    while soon and at < len(groups):
+        began = time.perf_counter()
+        done = work(groups[at])
+        soon = time.perf_counter() - began < SOON_SECONDS * len(groups[at])
+        at += 1
+        yield done
+    yield from pool.map(work, groups[at:])
+
+
 def packed(sizes: Iterable[int | None], task_bytes: int) -> Iterator[int]:
     """Bins of about ``task_bytes``, numbered from 0, in the order of the objects; none holds more unless one object does."""
     number, held = 0, 0
@@ -150,7 +172,7 @@ def with_sizes(wanted: DataFrame, location: str, task_bytes: int = TASK_BYTES) -
                 part = batch.to_pylist()
                 for bucket in {row["bucket"] for row in part}:
                     store(bucket)
-                rows += [row for group in pool.map(sizes, grouped(part)) for row in group]
+                rows += [row for group in in_turns(pool, sizes, part) for row in group]
         if rows:  # names of one task, about OBJECTS_PER_TASK
             bins = packed((row["size"] for row in rows), task_bytes)
             yield pa.RecordBatch.from_pylist([{**row, "bin": n} for row, n in zip(rows, bins, strict=True)], schema=schema)
@@ -186,7 +208,8 @@ def fetch_objects(
     ``names`` has ``bucket_url, object_name``; repeats are removed. The work
     grows with the objects named, not with the size of the store. Sizes are
     listed first, so that each task reads about ``task_bytes``; it has several
-    objects in flight, of ``BATCH_BYTES`` together, or a larger one alone. An object
+    objects in flight, of ``BATCH_BYTES`` together, or a larger one alone; those of a
+    store that answers at once are read in turn. An object
     that does not exist is not retried; any other error is, twice. The result
     has ``bucket_url, object_name, content, read_error``: an object that the
     store refused has no content but an error, so that it can be reported.
@@ -223,7 +246,7 @@ def fetch_objects(
             for rows in _windows(row for batch in batches for row in batch.to_pylist()):
                 for bucket in {row["bucket"] for row in rows}:
                     store(bucket)
-                parts = pool.map(lambda group: [read(row) for row in group], grouped(rows))
+                parts = in_turns(pool, lambda group: [read(row) for row in group], rows)
                 yield pa.RecordBatch.from_pylist([row for part in parts for row in part], schema=schema)
 
     return dealt.mapInArrow(fetch, "bucket_url string, object_name string, content binary, read_error string")

@@ -1,4 +1,7 @@
 import os
+import threading
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyarrow import fs
@@ -202,6 +205,26 @@ def test_readers_get_small_objects_in_groups():
     assert all(sum(g) <= large for g in mixed) and sum(map(len, mixed)) == 128
 
 
+@pytest.mark.parametrize("seconds, sizes", [(0, [5] * 1000), (0.003, [5] * 300), (0, [5] * 20), (0, [objects.GROUP_BYTES, *[5] * 400]), (0, [])])
+def test_many_objects_of_a_near_store_are_read_in_turn(seconds, sizes):
+    """Threads that hand over the interpreter for each small local file took eight times as long as one."""
+    by = []
+
+    def work(group):
+        by.extend([threading.current_thread()] * len(group))
+        time.sleep(seconds * len(group))
+        return [row["i"] for row in group]
+
+    with ThreadPoolExecutor(objects.READERS) as pool:
+        got = [i for part in objects.in_turns(pool, work, [{"i": i, "size": n} for i, n in enumerate(sizes)]) for i in part]
+    assert got == list(range(len(sizes)))
+    here = by.count(threading.current_thread())
+    if len(sizes) < objects.MANY:
+        assert here == 0
+    else:
+        assert here == objects.FIRST_FEW if seconds else here > objects.FIRST_FEW
+
+
 def test_files_of_the_fetch_queries_are_listed_once(spark, monkeypatch):
     listed = []
     monkeypatch.setattr(catalog, "read_object_files", lambda *a, **k: listed.append(1) or read_object_files(*a, **k))
