@@ -3,10 +3,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from isotherm.llm import lines, near_dedup, repeats
+from isotherm.llm import line_words, lines, near_dedup, repeats
 from isotherm.llm.frames import once_each
 from isotherm.llm.components import connected
 from isotherm.llm.lines import line_digests, removed_lines
@@ -211,6 +212,54 @@ def test_lines(spark, monkeypatch, clash, few):
         assert row.kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
 
 
+@pytest.mark.parametrize("at_a_time", [1, 7, 1000])
+def test_nodes_meet_by_words(monkeypatch, at_a_time):
+    """Whatever the batches: pairs by words of few rows with their number of words, all rows of other words once."""
+    monkeypatch.setattr(line_words, "MEET_ROWS", at_a_time)
+    rng = random.Random(5)
+    entries = [(rng.choice([0, 1, 2, 3, 4, 5, 6, 6, 6, 7, 7]), rng.randrange(-9, 9), (rng.choice([9, 10, 70]) << 32) + rng.randrange(2), 0, rng.randrange(2)) for _ in range(90)]
+    entries = sorted(entries + [(8, 5, (9 << 32) + 1, 0, 0)] * 30)
+    schema = pa.schema([(name, pa.int64()) for name in ("word", "node", "size", "low", "high")])
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, e, strict=True)) for e in entries[i : i + 4]], schema=schema) for i in range(0, len(entries), 4)]
+    met = [row for batch in line_words.meet(6)(iter([*batches, batches[0].slice(0, 0)])) for row in batch.to_pylist()]
+    once = [e for n, e in enumerate(entries) if n == 0 or e[:3] != entries[n - 1][:3]]
+    held = Counter(e[0] for e in once)
+    assert max(held.values()) > 6 and [e for e in once if held[e[0]] > 6] == [tuple(r[c] for c in schema.names) for r in met if r["word"] is not None]
+    pairs = Counter()
+    for x in once:
+        for y in once:
+            if x[0] == y[0] and held[x[0]] <= 6 and x[1] < y[1] and fits(x[2:], y[2:]):
+                pairs[x[1], y[1]] += 1
+    got = Counter()
+    for r in met:
+        if r["word"] is None:
+            got[r["node"], r["b"]] += r["common"]
+    assert pairs and got == pairs
+
+
+def fits(a, b):
+    (n, i), (m, j) = (divmod(x[0], 1 << 32) for x in (a, b))
+    bits = bin(a[1] ^ b[1]).count("1") + bin(a[2] ^ b[2]).count("1") if min(n, m) > line_words.SHORT_WORDS else bin(a[1] ^ b[1] ^ a[2] ^ b[2]).count("1")
+    return 5 * min(n, m) >= 4 * max(n, m) and 9 * (min(i, j) + 1 + min(n - i - 1, m - j - 1)) >= 4 * (n + m) and 9 * bits <= n + m
+
+
+def test_prefix_words_are_dealt_once(spark, monkeypatch):
+    """One exchange by word for words of few and of many nodes, of rows without the prefix; no table of unresolved nodes for each round."""
+    plans = {}
+
+    def kept(df, purpose):
+        plans.setdefault(purpose, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, purpose)
+
+    written = lines.stored
+    monkeypatch.setattr(lines, "stored", kept)
+    docs = doc_frame(spark, [" ".join(f"w{(i + j) % 50}" for j in range(20)) for i in range(50)])
+    assert removed_lines(docs).count() > 0
+    by_word = [p for of in plans.values() for p in of if "posexplode" in p]
+    assert len(by_word) == 1 and by_word[0].count("Exchange hashpartitioning(word") == 1
+    assert "open" not in plans
+
+
 def test_lines_defined_cases(spark):
     docs = doc_frame(spark, ["a b c\nx", "a b c\nx", "a b c", None, "x"], [1, 1, None, None, 2])
     got = sorted((repr(r.doc_id), r.n_lines, r.n_removed) for r in line_digests(docs).collect())
