@@ -260,6 +260,37 @@ def test_prefix_words_are_dealt_once(spark, monkeypatch):
     assert "open" not in plans
 
 
+def test_lines_run_no_python_on_executors(spark, monkeypatch):
+    """DataFrame operations alone, in every stored step and the result; the classes are looked up where words are numbered, no row carries them."""
+    plans = []
+
+    def kept(df, purpose):
+        plans.append((purpose, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, purpose)
+
+    written = lines.stored
+    monkeypatch.setattr(lines, "stored", kept)
+    monkeypatch.setattr(lines, "FEW", 3)
+    rng = random.Random(4)
+    base = " ".join(f"w{i}" for i in range(30))
+    docs = doc_frame(spark, ["\n".join(changed(base, rng, rng.randint(0, 4)) for _ in range(3)) for _ in range(12)])
+    plans.append(("result", line_digests(docs)._jdf.queryExecution().executedPlan().toString()))
+    assert {"lines", "hot", "met", "sets", "hubs", "removed", "result"} <= {purpose for purpose, _ in plans}
+    assert [x for x in plans if any(kind in x[1] for kind in ("Python", "Pandas", "Arrow"))] == []
+    numbering = next(plan for purpose, plan in plans if purpose == "lines")
+    assert "AS classes" not in numbering and numbering.count("transform(array(") == 1
+
+
+def test_frequent_words_are_not_gathered(spark, monkeypatch):
+    """Words of more than FEW nodes give no pairs, others all that fit; long sets go by 128 bits, an equal number of words of others apart."""
+    monkeypatch.setattr(lines, "FEW", 4)
+    many = [f"common {' '.join(f'x{i}_{j}' for j in range(8))}" for i in range(6)]
+    long = [" ".join(f"y{j}" for j in range(70)), " ".join(f"y{j}" for j in range(5, 75)), " ".join(f"y{j}" for j in range(20, 90))]
+    texts = [*many, *long, many[0].replace("x0_7", "z"), "a\tb c\rd", "d c  b a", "\t\r \n\x0b"]
+    gone = lines_by_brute_force(texts)
+    assert {r.doc_id: list(r.removed) for r in removed_lines(doc_frame(spark, texts)).collect()} == gone == {7: [0], 9: [0], 11: [0]}
+
+
 def test_lines_defined_cases(spark):
     docs = doc_frame(spark, ["a b c\nx", "a b c\nx", "a b c", None, "x"], [1, 1, None, None, 2])
     got = sorted((repr(r.doc_id), r.n_lines, r.n_removed) for r in line_digests(docs).collect())
