@@ -1,9 +1,7 @@
-"""Lines of texts as sets of numbers, by numpy within tasks.
+"""Constants of line sets, and nodes compared by numpy within a task.
 
-A word is a 64-bit polynomial of its bytes, mixed: all words of a megabyte are
-hashed by one running sum. Its number has the rarity class of its hash cell in
-front, so that ordering numbers orders words by rarity. Texts are taken in whole
-lines, about a megabyte at a time; only a longer line is more.
+``lines`` works with DataFrame functions alone and takes the constants only;
+``meet`` is the same comparison of the nodes of a word in numpy, kept for its test.
 """
 
 from __future__ import annotations
@@ -13,170 +11,15 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-from isotherm.llm.frames import per_process
-
-CHUNK = 1 << 20
 CELL_BITS, NUMBER_BITS = 21, 55
 CELLS = 1 << CELL_BITS
 #: Sets of fewer words are similar to equal ones only.
 LEAST_WORDS = 4
-#: Sets of at most so many words go by 64 bits, the two halves of their 128 one on the other.
+#: Sets of at most so many words go by 64 bits.
 SHORT_WORDS = 64
 #: Rows of words that are compared at a time, at least; with 256 to a word they give a million pairs.
 MEET_ROWS = 1 << 13
 
-FACTOR = 0x9E3779B97F4A7C13
-INVERSE = pow(FACTOR, -1, 1 << 64)
-BREAK = 10
-
-
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """A random number for each byte, none for separators; which bytes are separators."""
-    numbers = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    separator = np.zeros(256, bool)
-    separator[[9, BREAK, 13, 32]] = True
-    numbers[separator] = 0
-    return numbers, separator
-
-
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    def of(factor: int) -> np.ndarray:
-        return np.multiply.accumulate(np.full(size, factor, np.uint64))
-
-    return of(FACTOR), of(INVERSE)
-
-
-def mixed(x: np.ndarray, factor: int) -> np.ndarray:
-    x = x * np.uint64(factor)
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """For each word its line's number in ``data`` and its hash."""
-    numbers, separator = per_process("line tables", _tables)
-    text = np.frombuffer(data, np.uint8)
-    if not len(text):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    power, inverse = per_process("line powers", lambda: _powers(2 * CHUNK)) if len(text) <= 2 * CHUNK else _powers(len(text))
-    between = separator[text]
-    edges = np.flatnonzero(np.diff(between, prepend=True, append=True))
-    starts, ends = edges[::2], edges[1::2]
-    sums = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum(numbers[text] * power[: len(text)], out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * inverse[starts], 0xFF51AFD7ED558CCD)
-    return np.searchsorted(np.flatnonzero(text == BREAK), starts), hashes
-
-
-def pieces(text: bytes) -> Iterator[tuple[int, bytes]]:
-    """A text in whole lines, about ``CHUNK`` bytes each: the number of the first line, the lines."""
-    at = line = 0
-    while len(text) - at > CHUNK:
-        cut = text.rfind(b"\n", at, at + CHUNK)
-        cut = cut if cut >= 0 else text.find(b"\n", at + CHUNK)
-        if cut < 0:
-            break
-        piece = text[at:cut]
-        yield line, piece
-        line += piece.count(b"\n") + 1
-        at = cut + 1
-    yield line, text[at:]
-
-
-def chunks(texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, bytes]]:
-    """Pieces of texts put together: for each line the place of its text among all and its number there; the bytes."""
-    rows, firsts, held, size = [], [], [], 0
-    for row, text in enumerate(texts):
-        for line, piece in pieces(text):
-            rows.append(row)
-            firsts.append(line)
-            held.append(piece)
-            size += len(piece) + 1
-            if size >= CHUNK:
-                yield _chunk(rows, firsts, held)
-                rows, firsts, held, size = [], [], [], 0
-    if held:
-        yield _chunk(rows, firsts, held)
-
-
-def _chunk(rows: list[int], firsts: list[int], held: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes]:
-    lines = np.array([x.count(b"\n") + 1 for x in held])
-    before = np.repeat(np.cumsum(lines) - lines, lines)
-    return np.repeat(rows, lines), np.arange(lines.sum()) - before + np.repeat(firsts, lines), b"\n".join(held)
-
-
-def cell_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: how many words of its texts fall into each hash cell, for cells that have any."""
-    total = np.zeros(CELLS, np.int64)
-    for batch in batches:
-        for _, _, data in chunks(x.encode() for x in batch.column("text").to_pylist()):
-            cells, counts = np.unique(hashed_words(data)[1] & np.uint64(CELLS - 1), return_counts=True)
-            total[cells.astype(np.int64)] += counts
-    cells = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], ["cell", "n"])
-
-
-def word_sets(data: bytes, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the lines with words: their numbers in ``data``, where each one's words begin, and all words, rarest first by line."""
-    line, hashes = hashed_words(data)
-    size_class = classes[(hashes & np.uint64(CELLS - 1)).astype(np.int64)]
-    number = (size_class.astype(np.int64) << NUMBER_BITS) | (hashes >> np.uint64(64 - NUMBER_BITS)).astype(np.int64)
-    order = np.lexsort((number, line))
-    line, number = line[order], number[order]
-    new = np.ones(len(line), bool)
-    new[1:] = (line[1:] != line[:-1]) | (number[1:] != number[:-1])
-    line, number = line[new], number[new]
-    begins = np.flatnonzero(np.diff(line, prepend=-1))
-    return line[begins], begins, number
-
-
-def lists(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
-    """Stretches of ``values`` as lists."""
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    places = np.repeat(begins - offsets[:-1], sizes) + np.arange(offsets[-1])
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values[places]))
-
-
-LINES = "doc_id long, tag long, line_no int, node long, other long, n int, skipped int, low long, high long, prefix array<int>"
-LINES_ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("tag", pa.int64()), ("line_no", pa.int32()), ("node", pa.int64()), ("other", pa.int64())]
-    + [("n", pa.int32()), ("skipped", pa.int32()), ("low", pa.int64()), ("high", pa.int64()), ("prefix", pa.list_(pa.int32()))]
-)
-
-
-def number_lines(classes: bytes):
-    """Task: rows ``doc_id, tag, text`` to ``LINES``, one row per line with words.
-
-    ``prefix`` has the lower 32 bits of the words' numbers. It leaves out the ``skipped`` words in front that no other line can
-    have, and is empty for all but one of the equal lines of a chunk. ``low`` and
-    ``high`` are 128 bits, each the parity of how many words fall on it.
-    """
-
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(classes, np.uint8)
-        for batch in batches:
-            ids, tags = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy()
-            for row, line_no, data in chunks(x.encode() for x in batch.column("text").to_pylist()):
-                line, begins, number = word_sets(data, table)
-                if not len(line):
-                    continue
-                n = np.diff(begins, append=len(number))
-                node, other = (np.add.reduceat(mixed(number.view(np.uint64), f), begins).view(np.int64) for f in (FACTOR, INVERSE))
-                size = np.where(n >= LEAST_WORDS, n // 5 + 1, 0)
-                only_here = np.cumsum(np.concatenate([[0], number >> NUMBER_BITS == 0]))
-                skipped = np.minimum(only_here[begins + n] - only_here[begins], size)
-                left = np.zeros(len(line), np.int64)
-                first = np.unique(node, return_index=True)[1]
-                left[first] = (size - skipped)[first]
-                bit = np.uint64(1) << (number & 63).astype(np.uint64)
-                upper = (number & 64) > 0
-                low, high = (np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), begins).view(np.int64) for half in (~upper, upper))
-                columns = [ids[row[line]], tags[row[line]], line_no[line].astype(np.int32), node, other, n.astype(np.int32), skipped.astype(np.int32), low, high]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), lists(number.astype(np.int32), begins + skipped, left)], schema=LINES_ARROW)
-
-    return task
-
-
 MET = "word long, node long, b long, common int, n int, m int, size long, low long, high long"
 MET_ARROW = pa.schema([(name, pa.int32() if kind == "int" else pa.int64()) for name, kind in (column.split() for column in MET.split(", "))])
 
@@ -261,32 +104,3 @@ def meet(few: int):
         yield from settled(np.concatenate(held, axis=1), True)
 
     return task
-
-
-def whole_sets(classes: bytes):
-    """Task: rows ``text, asked`` (array of ``line_no, node``) to ``node, words`` of the lines asked for."""
-    schema = pa.schema([("node", pa.int64()), ("words", pa.list_(pa.int64()))])
-
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(classes, np.uint8)
-
-        def made(nodes: list[int], held: list[bytes]) -> pa.RecordBatch:
-            line, begins, number = word_sets(b"\n".join(held), table)
-            words = lists(number, begins, np.diff(begins, append=len(number)))
-            return pa.RecordBatch.from_arrays([pa.array(np.array(nodes, np.int64)[line]), words], schema=schema)
-
-        for batch in batches:
-            nodes, held, size = [], [], 0
-            for text, asked in zip(batch.column("text").to_pylist(), batch.column("asked").to_pylist(), strict=True):
-                parts = text.encode().split(b"\n")
-                for one in asked:
-                    nodes.append(one["node"])
-                    held.append(parts[one["line_no"]])
-                    size += len(held[-1])
-                    if size >= CHUNK:
-                        yield made(nodes, held)
-                        nodes, held, size = [], [], 0
-            if nodes:
-                yield made(nodes, held)
-
-    return task
