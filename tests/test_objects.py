@@ -11,6 +11,7 @@ import isotherm.queries.catalog as catalog
 import isotherm.sources.objects as objects
 from isotherm import ingest_notifications, missing_objects, notification_misses, notification_outcomes, read_objects
 from isotherm.operators.lookup import notified_objects
+from isotherm.sources import files
 from isotherm.sources.files import read_object_files
 from tests.test_notifications import envelope
 
@@ -94,6 +95,35 @@ def test_object_files(spark, tmp):
     assert names.select(F.count("*")).first()[0] == 1
 
 
+@pytest.mark.parametrize("most", [0, 100])
+@pytest.mark.parametrize("options", [{}, {"pathGlobFilter": "{part-[0-1],x?}*"}, {"modifiedBefore": "2020-01-01T00:00:00"}])
+def test_many_closed_files_are_listed_by_tasks(spark, tmp, monkeypatch, most, options):
+    """The driver held each file's status; few files, and options that Spark alone knows, are still its reader's."""
+    monkeypatch.setattr(files, "DRIVER_FILES", most)
+    for name in ("part-0", "x/part-1", "x/part-2", "x/y/xy", "x/_part-3", "part-4\n"):
+        os.makedirs(os.path.dirname(f"{tmp}/{name}"), exist_ok=True)
+        with open(f"{tmp}/{name}", "w") as out:
+            out.write(name)
+    os.utime(f"{tmp}/part-0", (1.5e9, 1.5e9 + 0.123))
+    closed = read_object_files(spark, tmp, "s3://in", closed=True, **options)
+    open_ = read_object_files(spark, tmp, "s3://in", **options).drop("content")
+    assert closed.columns == open_.columns and closed.dtypes == open_.dtypes
+    assert sorted(map(tuple, closed.collect())) == sorted(map(tuple, open_.collect())) != []
+    by_tasks = most == 0 and "modifiedBefore" not in options
+    assert ("FileScan" not in closed._jdf.queryExecution().executedPlan().toString()) == by_tasks
+
+
+@pytest.mark.parametrize("query", ["fetch_ingest", "fetch_misses"])
+def test_fetch_queries_of_many_files(spark, tmp, monkeypatch, query):
+    event = "id AS event_id", "TIMESTAMP'2024-01-01 00:00:00' AS ts", "id % 4 AS user_id", "'a' AS event_type", "CAST(id AS DOUBLE) AS value", "'' AS props"
+    spark.range(40).selectExpr(*event).write.parquet(f"{tmp}/events.parquet")
+    few = sorted(map(tuple, catalog.QUERIES[query](spark, tmp).collect()))
+    monkeypatch.setattr(files, "DRIVER_FILES", 0)
+    loaded, read = [], type(spark.read).load
+    monkeypatch.setattr(type(spark.read), "load", lambda self, *a, **k: loaded.append(a) or read(self, *a, **k))
+    assert sorted(map(tuple, catalog.QUERIES[query](spark, tmp).collect())) == few and len(few) == 4 and not loaded
+
+
 def test_names_that_lead_out_of_the_store(spark, tmp):
     os.makedirs(f"{tmp}/in")
     with open(f"{tmp}/secret.csv", "w") as out:
