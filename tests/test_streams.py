@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from isotherm import create_table, stream_files, stream_notifications, stream_payloads
 from isotherm.sinks.table import append_once, append_rows
 from isotherm.operators.payloads import number_payloads, payload_files
+from isotherm.streaming import jobs
 from isotherm.streaming.jobs import starting_position
 from isotherm.streaming.ledger import Ledger
 from tests.test_notifications import envelope
@@ -261,3 +262,39 @@ def test_a_batch_of_many_files_is_few_tasks(spark, tmp):
     many = spark.range(0, 1000, 1, 1000)
     assert few_tasks(many).rdd.getNumPartitions() == LEAST_TASKS
     assert few_tasks(many).count() == 1000 and few_tasks(spark.range(0, 10, 1, 3)).rdd.getNumPartitions() == 3
+
+
+@pytest.mark.parametrize("of", ["files", "payloads"])
+def test_a_batch_takes_a_bounded_number_of_files(spark, tmp, monkeypatch, of):
+    """The driver lists and plans all files of a batch; what one leaves is for the next, in order of arrival."""
+    monkeypatch.setattr(jobs, "BATCH_FILES", 2)
+    for i in range(5):
+        put(f"{tmp}/in/{9 - i}.csv", HEAD + f"d1,c{i},{i}\nd{i + 2},x,1", age=50 - i)
+
+    def run(check, **options):
+        name, seen = new_name(), []
+        told = {"mode": "create_and_dedupe", "available_now": True, "on_outcomes": lambda rows, batch: seen.append((batch, rows.count())), **options}
+        if of == "files":
+            stream_files(spark, f"{tmp}/in", "s3://in", name, f"{tmp}/{check}", **told).awaitTermination()
+        else:
+            stream_payloads(spark, f"{tmp}/in", name, f"{tmp}/{check}", "weather", **told).awaitTermination()
+        return content(spark, name), seen
+
+    rows, seen = run("a")
+    assert rows == [("d1", 0, "c0", 0, "c0"), *((f"d{i + 2}", 1, "x", 1, "x") for i in range(5))]
+    assert seen == [(0, 2), (1, 2), (2, 1)]
+    assert run("b", maxFilesPerTrigger="10") == (rows, [(0, 5)])
+    if of == "payloads":
+        assert Ledger(spark, f"{tmp}/a").payloads_before(3) == 5
+
+
+def test_batches_are_listed_by_few_tasks_and_not_kept(spark):
+    from isotherm.session import LISTING_CACHE_BYTES, LISTING_TASKS, for_file_streams
+
+    before = spark.conf.get(LISTING_TASKS)
+    try:
+        spark.conf.set(LISTING_TASKS, "10000")
+        assert for_file_streams(spark, 300).conf.get(LISTING_TASKS) == "300"
+        assert for_file_streams(spark, 900).conf.get(LISTING_TASKS) == "300" and spark.conf.get(LISTING_CACHE_BYTES) == "0"
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
